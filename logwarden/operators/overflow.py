@@ -1,0 +1,74 @@
+"""The events of alerts that are too large to list them in one row.
+
+An alert over more than ``Scale.inline_items`` events has no ``event_ids``. Its events are the rows
+given here with the same rule and alert id. Failures before successful logins may belong to many
+alerts at once; they are given once, without alert id, and belong to every alert of that rule with
+their address whose time range (first_event_at to last_event_at) holds them.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from logwarden.functions.times import floor_bucket
+from logwarden.operators.correlate import (
+    ENUMERATION,
+    interface_changes,
+    spread,
+    ssh_failures,
+    with_salt,
+)
+from logwarden.settings import DetectionSettings
+
+MEMBER_COLUMNS = ["rule_id", "alert_id", "source_ip", "timestamp", "event_id"]
+
+
+def overflow_members(events: DataFrame, alerts: DataFrame, settings: DetectionSettings) -> DataFrame:
+    salts = settings.scale.salts
+    large = alerts.where(F.col("event_ids").isNull()).withColumns(
+        {"first_at": F.col("first_event_at"), "last_at": F.col("last_event_at")}
+    )
+    inside = F.col("timestamp").between(F.col("first_at"), F.col("last_at"))
+
+    def ranges(keys: list[str], rules: list[str], window: int) -> DataFrame:
+        chosen = large.where(F.col("rule_id").isin(rules))
+        return spread(chosen.select(*keys, "rule_id", "alert_id", "first_at", "last_at"), window, salts)
+
+    def rows(chosen: DataFrame, window: int) -> DataFrame:
+        return with_salt(chosen, salts).withColumn("bucket", floor_bucket(F.col("timestamp"), window))
+
+    def auth(rule: str, window: int) -> DataFrame:
+        failures = ssh_failures(events)
+        if rule == ENUMERATION:
+            failures = failures.where(F.col("invalid_user"))
+        keys = ["source_ip", "bucket", "salt"]
+        return rows(failures, window).join(ranges(["source_ip"], [rule], window), keys).where(inside)
+
+    brute = auth("LINUX-AUTH-001", settings.linux_brute_force.window_seconds)
+    enumeration = auth(ENUMERATION, settings.linux_user_enumeration.window_seconds)
+
+    flap = settings.cisco_interface_flap.window_seconds
+    keys = ["host_name", "resource", "bucket", "salt"]
+    changes = rows(interface_changes(events), flap).join(
+        ranges(["host_name", "resource"], ["CISCO-NET-001"], flap), keys
+    ).where(inside)
+
+    window = settings.successful_login_after_failures.window_seconds
+    after = ranges(["source_ip"], ["LINUX-AUTH-003"], window).withColumnsRenamed(
+        {"source_ip": "ip", "bucket": "b", "salt": "s"}
+    )
+    before_success = (
+        rows(ssh_failures(events), window)
+        .join(
+            after,
+            (F.col("source_ip") == F.col("ip")) & (F.col("bucket") == F.col("b")) & (F.col("salt") == F.col("s")) & inside,
+            "left_semi",
+        )
+        .withColumns({"rule_id": F.lit("LINUX-AUTH-003"), "alert_id": F.lit(None).cast("string")})
+    )
+    parts = [brute, enumeration, changes, before_success]
+    members = parts[0].select(*MEMBER_COLUMNS)
+    for part in parts[1:]:
+        members = members.unionByName(part.select(*MEMBER_COLUMNS))
+    return members
