@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import quality
+from llm import packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +20,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents(spark, sf_dir))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), packing.Packing(public_tokenizers.path("word_bpe_49k.json")))
+
+
 QUERIES: dict[str, Query] = {
     "op3_quality_rules": op3_quality_rules,
+    "op6_best_fit_packing": op6_best_fit_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
