@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import jaccard, packing, quality
+from llm import jaccard, language, packing, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,13 +24,28 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents(spark, sf_dir))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels.where(~language.held_out()).select("doc_id", "toxic"))
+    return toxicity.score(docs, model, threshold=0.3).select("doc_id", language.held_out().alias("held_out"), "score", "predicted")
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), packing.Packing(public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    learned = language.prototypes(docs.where(~language.held_out()))
+    found = language.identify(docs, learned)
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op3_quality_rules": op3_quality_rules,
+    "op5_toxicity": op5_toxicity,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_language_id": op8_language_id,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -16,6 +16,8 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 2**64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
+_NO_LETTER = np.ones(256, dtype=bool)
+_NO_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _GRAM = [0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB]
 #: Bytes of text handled at once; bounds the memory of the arrays, not the length of a text.
 BLOCK = 4 << 20
@@ -51,23 +53,38 @@ def blocks(texts: Sequence[str | None], size: int = BLOCK) -> Iterator[tuple[int
         yield start, len(texts)
 
 
+class _Sums:
+    """Texts joined by line feeds, and prefix sums from which the hash of any run of their bytes follows."""
+
+    def __init__(self, raw: list[bytes], separators: np.ndarray):
+        joined = np.frombuffer(b"\n".join([*raw, b""]) if raw else b"", dtype=np.uint8)
+        ends = np.cumsum([len(t) + 1 for t in raw], dtype=np.int64)
+        space = separators[joined]
+        self.first = np.flatnonzero(~space & np.concatenate(([True], space[:-1]))) if len(joined) else np.empty(0, np.int64)
+        self.last = np.flatnonzero(space & np.concatenate(([False], ~space[:-1]))) if len(joined) else np.empty(0, np.int64)
+        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[joined] * _powers(_BASE, len(joined)), dtype=np.uint64)))
+        self.inverse = _powers(_INVERSE, len(joined) + 1)[self.first]
+        self.bounds = np.concatenate(([0], np.searchsorted(self.first, ends)))
+
+    def hashes(self, last: np.ndarray) -> np.ndarray:
+        return mix((self.sums[last] - self.sums[self.first]) * self.inverse + (last - self.first).astype(np.uint64))
+
+
 def word_hashes(texts: Iterable[str | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of all texts one after another, and the text bounds in them (one more than texts).
 
     A null text has no words. With `lower`, A-Z count as a-z.
     """
     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    if lower:
-        raw = [t.lower() for t in raw]
-    joined = np.frombuffer(b"\n".join([*raw, b""]) if raw else b"", dtype=np.uint8)
-    ends = np.cumsum([len(t) + 1 for t in raw], dtype=np.int64)
-    space = _SPACE[joined]
-    first = np.flatnonzero(~space & np.concatenate(([True], space[:-1]))) if len(joined) else np.empty(0, np.int64)
-    last = np.flatnonzero(space & np.concatenate(([False], ~space[:-1]))) if len(joined) else np.empty(0, np.int64)
-    power = _powers(_BASE, len(joined))
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[joined] * power, dtype=np.uint64)))
-    hashes = mix((sums[last] - sums[first]) * _powers(_INVERSE, len(joined) + 1)[first] + (last - first).astype(np.uint64))
-    return hashes, np.concatenate(([0], np.searchsorted(first, ends)))
+    sums = _Sums([t.lower() for t in raw] if lower else raw, _SPACE)
+    return sums.hashes(sums.last), sums.bounds
+
+
+def word_parts(texts: Iterable[str], lengths: Iterable[int]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Hashes of all words, here runs of letters and other than ASCII characters; of their first bytes, an array for
+    each of `lengths`; and the text bounds in them."""
+    sums = _Sums([t.encode("utf-8", "surrogatepass") for t in texts], _NO_LETTER)
+    return sums.hashes(sums.last), [sums.hashes(np.minimum(sums.first + k, sums.last)) for k in lengths], sums.bounds
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
