@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import jaccard, language, line_dedup, packing, quality, toxicity
+from llm import jaccard, language, line_dedup, packing, pii, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), packing.Packing(public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return pii.summary(pii.find(docs, pii.train(docs)))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     learned = language.prototypes(docs.where(~language.held_out()))
@@ -51,6 +56,7 @@ QUERIES: dict[str, Query] = {
     "op3_quality_rules": op3_quality_rules,
     "op5_toxicity": op5_toxicity,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_pii": op7_pii,
     "op8_language_id": op8_language_id,
 }
 ORACLE_SQL: dict[str, str] = {
