@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with Spark's higher-order functions.
 
-The text is split by the vocabulary's pattern. A word is held as its bytes in hexadecimal, each piece in angle brackets:
-`<61><62>`. A fold merges: it looks up the ranks of all neighbouring pieces in a literal rank map, takes the least, and
+The text is split by the vocabulary's pattern. A word is held as its bytes in hexadecimal, in brackets: `<61><62>`.
+A fold merges: it looks up the ranks of all neighbouring pieces in a literal rank map, takes the least, and
 replaces that pair by their union wherever it stands (in a vocabulary built by merges nothing with a lower rank can
 come of it, so this is the same as one merge at a time), until no pair has a rank. The map is an array of small maps,
 dealt by a hash of the piece, so that a lookup doesn't grow with the vocabulary.
@@ -27,7 +27,7 @@ from llm.tables import stage
 #: White space as Unicode has it, spelled out: Java's \s is ASCII's alone.
 _SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
 #: Frequent words kept in a literal; the others are encoded where they stand.
-_WORDS = 60_000
+_WORDS = 100_000
 
 
 @dataclass(frozen=True)
@@ -58,7 +58,7 @@ def literal_map(entries: dict[str, object], kind: str) -> Callable[[Column], Col
     """A lookup in a literal: null for other keys. One JSON text is parsed once, when the plan is made."""
     import zlib
 
-    size = max(1, len(entries))
+    size = max(1, len(entries) // 6)
     buckets: list[dict] = [{} for _ in range(size)]
     for key, value in entries.items():
         buckets[zlib.crc32(key.encode()) % size][key] = value
@@ -66,38 +66,53 @@ def literal_map(entries: dict[str, object], kind: str) -> Callable[[Column], Col
     return lambda key: F.try_element_at(F.get(table, _slot(key, size)), key)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often it is used there."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _parts(word: Column) -> Column:
-    """The pieces of `<..><..>`."""
-    return F.split(F.substr(word, F.lit(2), F.length(word) - 2), "><")
+    """The pieces of `<..><..>`; a split at one plain sign needs no pattern."""
+    return F.split(F.replace(F.btrim(word, F.lit("<>")), F.lit("><"), F.lit(",")), ",")
+
 
+def merge(whole: Column, rank: Callable[[Column], Column]) -> Column:
+    """The merged form `<..><..>` of a word given as its bytes in hexadecimal."""
 
-def merge(word: Column, rank: Callable[[Column], Column]) -> Column:
-    """The merged form `<..><..>` of a word given as text."""
-    whole = F.hex(F.encode(word, "UTF-8"))
-    bytes_ = F.regexp_replace(whole, "(..)", "<$1>")
+    def merged(word: Column, parts: Column, ranks: Column, least: Column) -> Column:
+        at = F.array_position(ranks, least).cast("int")
+        a, b = F.get(parts, at - 1), F.get(parts, at)
+        return F.replace(word, F.concat(F.lit("<"), a, F.lit("><"), b, F.lit(">")), F.concat(F.lit("<"), a, b, F.lit(">")))
+
+    def ranks_of(parts: Column) -> Column:
+        n = F.size(parts) - 1
+        return F.zip_with(F.slice(parts, 1, n), F.slice(parts, 2, n), lambda a, b: rank(F.concat(a, b)))
 
     def step(state: Column, _: Column) -> Column:
-        parts = _parts(state["word"])
-        pairs = F.zip_with(F.slice(parts, 1, F.size(parts) - 1), F.slice(parts, 2, F.size(parts) - 1), lambda a, b: F.struct(rank(F.concat(a, b)).alias("rank"), a.alias("a"), b.alias("b")))
-        least = F.array_min(F.filter(pairs, lambda p: p["rank"].isNotNull()))
-        merged = F.replace(state["word"], F.concat(F.lit("<"), least["a"], F.lit("><"), least["b"], F.lit(">")), F.concat(F.lit("<"), least["a"], least["b"], F.lit(">")))
-        following = F.when(least.isNull(), F.struct(state["word"].alias("word"), F.lit(True).alias("done"))).otherwise(F.struct(merged.alias("word"), F.lit(False).alias("done")))
-        return F.when(state["done"] | (F.size(parts) < 2), state).otherwise(following)
+        done = F.struct(state["word"].alias("word"), F.lit(True).alias("done"))
+        following = _let(_parts(state["word"]), lambda parts: _let(ranks_of(parts), lambda ranks: _let(F.array_min(ranks), lambda least:
+            F.when(least.isNull(), done).otherwise(F.struct(merged(state["word"], parts, ranks, least).alias("word"), F.lit(False).alias("done"))))))
+        return F.when(state["done"], state).otherwise(following)
 
-    start = F.struct(bytes_.alias("word"), F.lit(False).alias("done"))
-    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(whole) / 2 - 1, F.lit(1)).cast("int")), start, step)["word"]
-    return F.when(rank(whole).isNotNull(), F.concat(F.lit("<"), whole, F.lit(">"))).otherwise(folded)
+    start = F.struct(F.regexp_replace(whole, "(..)", "<$1>").alias("word"), (F.length(whole) <= 2).alias("done"))
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(whole) / 2 - 1, F.lit(1)).cast("int")), start, step)["word"]
 
 
 def _little(ids: Column) -> Column:
     """An id as eight hexadecimal digits, least byte first."""
-    digits = F.lpad(F.hex(ids), 8, "0")
-    return F.concat(*[F.substring(digits, k, 2) for k in (7, 5, 3, 1)])
+    return _let(F.lpad(F.hex(ids), 8, "0"), lambda d: F.concat(*[F.substring(d, k, 2) for k in (7, 5, 3, 1)]))
+
 
+def encode_words(words: Column, rank: Callable[[Column], Column], known: Callable[[Column], Column] | None = None) -> Column:
+    """The ids of each of an array of words, eight digits each; `known` has those of some words.
 
-def encode_word(word: Column, rank: Callable[[Column], Column]) -> Column:
-    """A word's ids, eight digits each."""
-    return F.array_join(F.transform(_parts(merge(word, rank)), lambda p: _little(rank(p))), "")
+    Each step is a transform of its own, as an expression used twice in one would be computed twice.
+    """
+    none = F.lit(None).cast("string")
+    found = F.transform(words, lambda w: F.struct((known(w) if known else none).alias("ids"), w.alias("word")))
+    bytes_ = F.transform(found, lambda x: F.struct(x["ids"].alias("ids"), F.when(x["ids"].isNull(), F.hex(F.encode(x["word"], "UTF-8"))).alias("word")))
+    merged = F.transform(bytes_, lambda x: F.struct(x["ids"].alias("ids"), F.when(x["ids"].isNull(), merge(x["word"], rank)).alias("word")))
+    return F.transform(merged, lambda x: F.coalesce(x["ids"], F.array_join(F.transform(_parts(x["word"]), lambda p: _little(rank(p))), "")))
 
 
 def words_of(text: Column, vocabulary: Vocabulary) -> Column:
@@ -109,14 +124,14 @@ def frequent_words(docs: DataFrame, vocabulary: Vocabulary, most: int = _WORDS)
     counts = docs.select(F.explode(words_of(F.col("text"), vocabulary)).alias("word")).groupBy("word").count()
     top = stage(counts.orderBy(F.desc("count"), "word").limit(most).where(F.length("word") <= 64).select("word"), "frequent-words")
     rank = literal_map(vocabulary.ranks, "int")
-    return dict(map(tuple, top.select("word", encode_word(F.col("word"), rank)).collect()))
+    return dict(map(tuple, top.select("word", F.get(encode_words(F.array("word"), rank), F.lit(0))).collect()))
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, most: int = _WORDS) -> DataFrame:
     """`docs` with `ids`: binary, little-endian 32-bit ids of the whole text."""
     known = literal_map(frequent_words(docs, vocabulary, most), "string")
     rank = literal_map(vocabulary.ranks, "int")
-    ids = F.transform(words_of(F.col("text"), vocabulary), lambda w: F.coalesce(known(w), encode_word(w, rank)))
+    ids = encode_words(words_of(F.col("text"), vocabulary), rank, known)
     return docs.withColumn("ids", F.unhex(F.array_join(ids, "")))
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm import jaccard, language, line_dedup, packing, pii, quality, toxicity
+from llm import byte_bpe, jaccard, language, line_dedup, packing, pii, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +50,17 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = byte_bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    coded = byte_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), vocabulary)
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decode(F.col("ids"), vocabulary), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_line_dedup": op2_line_dedup,
@@ -58,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_pii": op7_pii,
     "op8_language_id": op8_language_id,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": line_dedup.ORACLE,
