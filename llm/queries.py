@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm import byte_bpe, jaccard, language, line_dedup, packing, pii, quality, toxicity
+from llm import byte_bpe, jaccard, language, line_dedup, neighbours, packing, pii, quality, toxicity, unit_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents(spark, sf_dir))
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, labels.where(~language.held_out()).select("doc_id", "toxic"))
@@ -50,6 +54,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unit_dedup.dedup_units(documents(spark, sf_dir).select("doc_id", "text"), kind="sentence", min_words=8)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = byte_bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     coded = byte_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), vocabulary)
@@ -65,10 +73,12 @@ QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_line_dedup": op2_line_dedup,
     "op3_quality_rules": op3_quality_rules,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_toxicity": op5_toxicity,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_pii": op7_pii,
     "op8_language_id": op8_language_id,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLE_SQL: dict[str, str] = {
