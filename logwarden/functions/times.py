@@ -37,7 +37,12 @@ def with_iso_timestamp(rows: DataFrame, text: str, out: str) -> DataFrame:
     shifted = F.timestamp_micros(F.unix_micros(local) - F.col(offset) * MICROS)
     return (
         rows.withColumn(
-            groups, match_groups(F.replace(F.col(text), F.lit("Z"), F.lit("+00:00")), ISO, ISO_GROUPS)
+            groups,
+            # A decoded JSON text may hold line feeds: only one that matches is taken apart.
+            F.when(
+                F.replace(F.col(text), F.lit("Z"), F.lit("+00:00")).rlike(ISO),
+                match_groups(F.replace(F.col(text), F.lit("Z"), F.lit("+00:00")), ISO, ISO_GROUPS),
+            ),
         )
         .withColumns(
             {

@@ -11,6 +11,7 @@ from logwarden.operators.catalog import complete_alerts
 from logwarden.operators.correlate import FINDING_COLUMNS, correlated_findings
 from logwarden.operators.rules import direct_findings
 from logwarden.plans.workarea import WorkArea
+from logwarden.schema import POSITION
 from logwarden.settings import DetectionSettings
 
 
@@ -30,4 +31,5 @@ def rank_alerts(alerts: DataFrame) -> DataFrame:
 
 
 def events_in_input_order(events: DataFrame) -> DataFrame:
-    return events.orderBy("source_rank", "path", "split_start", "split_row")
+    """Events dealt by ranges of their place and sorted within: the part files follow the input's order."""
+    return events.repartitionByRange(*POSITION).sortWithinPartitions(*POSITION)

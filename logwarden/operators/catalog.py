@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logwarden.functions.scoring import severity_from_score
-from logwarden.schema import ALERT_EXTRAS, ALERT_FIELDS, stable_id
+from logwarden.schema import ALERT_COLUMNS, stable_id
 
 # rule id: score, title, description, techniques, recommended action, false-positive notes.
 # Fixed values.
@@ -116,5 +116,5 @@ def complete_alerts(findings: DataFrame) -> DataFrame:
     return (
         findings.join(catalog, "rule_id")
         .withColumn("alert_id", stable_id(F.col("rule_id"), F.col("alert_key")))
-        .select(*ALERT_FIELDS, *ALERT_EXTRAS)
+        .select(*ALERT_COLUMNS)
     )

@@ -1,11 +1,9 @@
 """Rules over groups of events.
 
-Three of them judge a whole group: it must hold enough and span no more than the window. They run in
-two steps. The first reduces every group to a few numbers, before and after the shuffle, and keeps the
-groups that qualify. The second goes back to the events of those groups only, for their ids and names.
-A qualifying group lies within one window, so it touches at most two time buckets of the window's
-length; the second join uses the bucket and a salt as further keys, which keeps a busy address from
-landing in one task.
+Three of them judge a whole group: it must hold enough and span no more than the window. Every group is
+reduced to a few numbers, before and after the shuffle; failed logins are counted by user first, which
+spreads a busy address. Only the names of qualifying groups are gathered. The events of an alert are not
+looked at again here: ``operators.members`` gives them as rows.
 
 The fourth counts, for every success, the failures shortly before it. Events are first reduced to one
 row per address and moment. Each such row of failures is placed into its own time bucket and the next,
@@ -14,14 +12,10 @@ so that a range frame inside one bucket sees everything it needs.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logwarden.functions.text import blank_to_null
 from logwarden.functions.times import MICROS, floor_bucket
-from logwarden.operators.catalog import complete_alerts
 from logwarden.plans.workarea import WorkArea, keep
 from logwarden.schema import CISCO, LINUX, position
 from logwarden.settings import DetectionSettings
@@ -35,29 +29,20 @@ FINDING_COLUMNS = [
     "user_name",
     "resource",
     "evidence",
-    "event_ids",
     "event_count",
     "first_event_at",
     "last_event_at",
     "host_name",
+    "own_event_id",
     "seen",
 ]
 
 
-def _member() -> Column:
-    return F.struct(F.col("timestamp"), position().alias("place"), F.col("event_id"))
-
-
 def span_within(first: Column, last: Column, window_seconds: int) -> Column:
     """Whether a group's whole span, both ends included, fits into the window."""
     return F.unix_micros(last) - F.unix_micros(first) <= F.lit(window_seconds * MICROS)
 
 
-def ordered_event_ids(members: Column) -> Column:
-    """Ids by time, and by input order where times are equal."""
-    return F.transform(F.array_sort(members), lambda m: m["event_id"])
-
-
 def ssh_failures(events: DataFrame) -> DataFrame:
     return events.where(
         (F.col("source") == LINUX) & (F.col("action") == "ssh_login_failed") & F.col("source_ip").isNotNull()
@@ -105,16 +90,11 @@ def _key_text(columns: list[str]) -> Column:
 # --- SSH failures per address ------------------------------------------------------------------
 
 
-def auth_groups(events: DataFrame, settings: DetectionSettings) -> DataFrame:
-    """Numbers per address: one row per (batch,) source_ip.
-
-    The first aggregation is by user as well, which spreads a busy address and makes the number of
-    distinct invalid users a plain sum in the second.
-    """
+def auth_users(events: DataFrame, settings: DetectionSettings) -> DataFrame:
+    """Numbers of failed logins per (batch,) source_ip and user, invalid or not."""
     scoped, keys = _scoped(ssh_failures(events), ["source_ip"], settings)
-    invalid = F.coalesce(F.col("invalid_user"), F.lit(False))
-    by_user = (
-        scoped.withColumn("invalid_user", invalid)
+    return (
+        scoped.withColumn("invalid_user", F.coalesce(F.col("invalid_user"), F.lit(False)))
         .groupBy(*keys, "user_name", "invalid_user")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -123,18 +103,21 @@ def auth_groups(events: DataFrame, settings: DetectionSettings) -> DataFrame:
             F.min(position()).alias("seen"),
         )
     )
-    named = F.coalesce(F.col("user_name") != "", F.lit(False))
+
+
+def auth_groups(by_user: DataFrame) -> DataFrame:
+    """Numbers per address, of all its failures and of those for invalid users, who are counted once each."""
+    keys = [c for c in ("batch", "source_ip") if c in by_user.columns]
     tried = F.col("invalid_user")
     return by_user.groupBy(*keys).agg(
         F.sum("n").alias("n"),
         F.min("first_at").alias("first_at"),
         F.max("last_at").alias("last_at"),
         F.min("seen").alias("seen"),
-        F.count_if(named).alias("names"),
         F.coalesce(F.sum(F.when(tried, F.col("n"))), F.lit(0)).alias("invalid_n"),
         F.min(F.when(tried, F.col("first_at"))).alias("invalid_first_at"),
         F.max(F.when(tried, F.col("last_at"))).alias("invalid_last_at"),
-        F.count_if(named & tried).alias("invalid_names"),
+        F.count_if((F.col("user_name") != "") & tried).alias("invalid_names"),
     )
 
 
@@ -144,16 +127,7 @@ BRUTE_FORCE, ENUMERATION = "LINUX-AUTH-001", "LINUX-AUTH-002"
 def qualifying_auth_groups(groups: DataFrame, settings: DetectionSettings) -> DataFrame:
     """One row per address and rule that it fulfils, with the numbers of the events that rule covers."""
     brute, enum = settings.linux_brute_force, settings.linux_user_enumeration
-    candidate = lambda rule, holds, n, first, last, names: F.when(
-        holds,
-        F.struct(
-            F.lit(rule).alias("rule_id"),
-            F.col(n).alias("n"),
-            F.col(first).alias("first_at"),
-            F.col(last).alias("last_at"),
-            F.col(names).alias("names"),
-        ),
-    )
+
     is_brute = (F.col("n") >= brute.threshold) & span_within(
         F.col("first_at"), F.col("last_at"), brute.window_seconds
     )
@@ -161,59 +135,33 @@ def qualifying_auth_groups(groups: DataFrame, settings: DetectionSettings) -> Da
         F.col("invalid_first_at"), F.col("invalid_last_at"), enum.window_seconds
     )
     keys = [c for c in ("batch", "source_ip") if c in groups.columns]
-    return (
-        groups.where(is_brute | is_enum)
-        .select(
-            *keys,
-            "seen",
-            F.inline(
-                F.array_compact(
-                    F.array(
-                        candidate(BRUTE_FORCE, is_brute, "n", "first_at", "last_at", "names"),
-                        candidate(
-                            ENUMERATION, is_enum, "invalid_n", "invalid_first_at", "invalid_last_at", "invalid_names"
-                        ),
-                    )
-                )
-            ),
-        )
+    rule = F.explode(F.array(F.lit(BRUTE_FORCE), F.lit(ENUMERATION))).alias("rule_id")
+    both = groups.withColumns({"is_brute": is_brute, "is_enum": is_enum}).select("*", rule)
+    by_rule = lambda a, b: F.when(F.col("rule_id") == BRUTE_FORCE, F.col(a)).otherwise(F.col(b))
+    return both.where(by_rule("is_brute", "is_enum")).select(
+        *keys,
+        "seen",
+        "rule_id",
+        *[by_rule(name, f"invalid_{name}").alias(name) for name in ("n", "first_at", "last_at")],
     )
 
 
 def auth_findings(events: DataFrame, settings: DetectionSettings, work: WorkArea | None = None) -> DataFrame:
     """Brute force and user enumeration."""
-    groups = keep(qualifying_auth_groups(auth_groups(events, settings), settings), work, "auth_groups")
-    window = max(settings.linux_brute_force.window_seconds, settings.linux_user_enumeration.window_seconds)
-    limit, salts = settings.scale.inline_items, settings.scale.salts
-    scoped, keys = _scoped(ssh_failures(events), ["source_ip"], settings)
-    failures = with_salt(scoped, salts).select(
-        *keys,
-        "salt",
-        floor_bucket(F.col("timestamp"), window).alias("bucket"),
-        "timestamp",
-        blank_to_null(F.col("user_name")).alias("user_name"),
-        F.coalesce("invalid_user", F.lit(False)).alias("invalid_user"),
-        _member().alias("member"),
-    )
-    covered = F.col("timestamp").between(F.col("first_at"), F.col("last_at")) & (
-        (F.col("rule_id") == BRUTE_FORCE) | F.col("invalid_user")
-    )
-    carried = [*keys, "rule_id", "n", "first_at", "last_at", "names", "seen"]
-    found = (
-        failures.join(spread(groups, window, salts), [*keys, "bucket", "salt"])
-        .where(covered)
-        .groupBy(*carried)
-        .agg(
-            F.collect_list(F.when(F.col("n") <= limit, F.col("member"))).alias("members"),
-            # "names" may count a name twice, once as valid and once as invalid.
-            F.collect_set(F.when(F.col("names") <= 2 * limit, F.col("user_name"))).alias("users"),
-        )
-    )
-    users = F.when(F.col("names") <= 2 * limit, F.array_join(F.array_sort("users"), ", ")).otherwise(
-        F.concat(F.col("names").cast("string"), F.lit(" names, see the member events"))
-    )
+    by_user = keep(auth_users(events, settings), work, "auth_users")
+    groups = keep(qualifying_auth_groups(auth_groups(by_user), settings), work, "auth_groups")
+    keys = [c for c in ("batch", "source_ip") if c in by_user.columns]
     brute = F.col("rule_id") == BRUTE_FORCE
-    return found.select(
+    named = by_user.where(F.col("user_name") != "").select(*keys, "user_name", "invalid_user")
+    users = (
+        groups.select(*keys, "rule_id")
+        .join(named, keys)
+        .where(brute | F.col("invalid_user"))
+        .groupBy(*keys, "rule_id")
+        .agg(F.array_join(F.array_sort(F.collect_set("user_name")), ", ").alias("users"))
+    )
+    users_text = F.coalesce("users", F.lit(""))
+    return groups.join(users, [*keys, "rule_id"], "left").select(
         "rule_id",
         _key_text([*keys, "first_at", "last_at", "n"]).alias("alert_key"),
         F.col("last_at").alias("detected_at"),
@@ -225,16 +173,16 @@ def auth_findings(events: DataFrame, settings: DetectionSettings, work: WorkArea
             brute,
             F.array(
                 F.concat(F.col("n").cast("string"), F.lit(" failed SSH logins")),
-                F.concat(F.lit("Targeted users: "), users),
+                F.concat(F.lit("Targeted users: "), users_text),
             ),
         )
-        .otherwise(F.array(F.concat(F.lit("Invalid users tested: "), users)))
+        .otherwise(F.array(F.concat(F.lit("Invalid users tested: "), users_text)))
         .alias("evidence"),
-        F.when(F.col("n") <= limit, ordered_event_ids(F.col("members"))).alias("event_ids"),
         F.col("n").alias("event_count"),
         F.col("first_at").alias("first_event_at"),
         F.col("last_at").alias("last_event_at"),
         F.lit(None).cast("string").alias("host_name"),
+        F.lit(None).cast("string").alias("own_event_id"),
         "seen",
     )
 
@@ -247,9 +195,9 @@ MOMENT = ["source_ip", "at"]
 def _auth_moments(events: DataFrame, window_seconds: int) -> DataFrame:
     """Failures and successes per address and moment, placed into time buckets."""
     failed = F.col("action") == "ssh_login_failed"
+    logins = (F.col("source") == LINUX) & F.col("action").isin("ssh_login_failed", "ssh_login_success")
     moments = (
-        ssh_failures(events)
-        .unionByName(ssh_successes(events))
+        events.where(logins & F.col("source_ip").isNotNull())
         .groupBy("source_ip", F.unix_micros("timestamp").alias("at"))
         .agg(F.count_if(failed).alias("failures"), F.count_if(~failed).alias("successes"))
     )
@@ -279,53 +227,18 @@ def success_hits(moments: DataFrame, settings: DetectionSettings) -> DataFrame:
     )
 
 
-def _failure_ids(events: DataFrame, moments: DataFrame, hits: DataFrame, settings: DetectionSettings) -> DataFrame:
-    """Ids of the failures before each hit, in input order, for hits that list them.
-
-    Hits are matched with moments of failures first and only those with the failures themselves, so no
-    event is compared with a success it does not belong to.
-    """
-    width = settings.successful_login_after_failures.window_seconds * MICROS
-    limit, salts = settings.scale.inline_items, settings.scale.salts
-    moment = moments.where(F.col("failures") > 0).select("source_ip", "bucket", F.col("at").alias("failed_at"))
-    links = (
-        hits.where(F.col("n") <= limit)
-        .select("source_ip", "bucket", "at")
-        .join(moment, ["source_ip", "bucket"])
-        .where(F.col("failed_at").between(F.col("at") - width, F.col("at")))
-        .select("source_ip", "at", "failed_at")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
-    failures = with_salt(ssh_failures(events), salts).select(
-        "source_ip",
-        "salt",
-        F.unix_micros("timestamp").alias("failed_at"),
-        F.struct(position().alias("place"), F.col("event_id")).alias("member"),
-    )
-    return (
-        failures.join(links, ["source_ip", "failed_at", "salt"])
-        .groupBy(*MOMENT)
-        .agg(F.collect_list("member").alias("members"))
-        .select(*MOMENT, ordered_event_ids(F.col("members")).alias("failure_ids"))
-    )
-
-
 def success_findings(events: DataFrame, settings: DetectionSettings, work: WorkArea | None = None) -> DataFrame:
     """One finding per success that follows enough failures from its address."""
     window = settings.successful_login_after_failures.window_seconds
-    salts = settings.scale.salts
-    moments = keep(_auth_moments(events, window), work, "auth_moments")
+    moments = _auth_moments(events, window)
     hits = keep(success_hits(moments, settings), work, "success_hits")
-    salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    listed = hits.join(_failure_ids(events, moments, hits, settings), MOMENT, "left").withColumn("salt", salt)
     successes = (
-        with_salt(ssh_successes(events), salts)
+        ssh_successes(events)
         .withColumn("at", F.unix_micros("timestamp"))
-        .select(*MOMENT, "salt", "timestamp", "user_name", "host_name", "event_id", position().alias("seen"))
+        .select(*MOMENT, "timestamp", "user_name", "host_name", "event_id", position().alias("seen"))
     )
-    found = successes.join(listed, [*MOMENT, "salt"])
     account = F.coalesce(F.col("user_name"), F.lit("None"))
-    return found.select(
+    return successes.join(hits, MOMENT).select(
         F.lit("LINUX-AUTH-003").alias("rule_id"),
         F.col("event_id").alias("alert_key"),
         F.col("timestamp").alias("detected_at"),
@@ -337,11 +250,11 @@ def success_findings(events: DataFrame, settings: DetectionSettings, work: WorkA
             F.concat(F.col("n").cast("string"), F.lit(" failures before success")),
             F.concat(F.lit("Successful account: "), account),
         ).alias("evidence"),
-        F.concat(F.col("failure_ids"), F.array("event_id")).alias("event_ids"),
         (F.col("n") + 1).alias("event_count"),
         F.timestamp_micros("first_failure").alias("first_event_at"),
         F.col("timestamp").alias("last_event_at"),
         "host_name",
+        F.col("event_id").alias("own_event_id"),
         "seen",
     )
 
@@ -372,20 +285,9 @@ def interface_groups(events: DataFrame, settings: DetectionSettings) -> DataFram
 
 
 def interface_findings(events: DataFrame, settings: DetectionSettings, work: WorkArea | None = None) -> DataFrame:
-    window = settings.cisco_interface_flap.window_seconds
-    limit, salts = settings.scale.inline_items, settings.scale.salts
-    groups = keep(interface_groups(events, settings), work, "interface_groups")
-    scoped, keys = _scoped(interface_changes(events), ["host_name", "resource"], settings)
-    changes = with_salt(scoped, salts).select(
-        *keys, "salt", floor_bucket(F.col("timestamp"), window).alias("bucket"), _member().alias("member")
-    )
-    # Every event of the group lies between its first and last one, so the keys alone decide.
-    found = (
-        changes.join(spread(groups, window, salts), [*keys, "bucket", "salt"])
-        .groupBy(*keys, "n", "first_at", "last_at", "seen")
-        .agg(F.collect_list(F.when(F.col("n") <= limit, F.col("member"))).alias("members"))
-    )
-    return found.select(
+    groups = interface_groups(events, settings)
+    keys = [c for c in ("batch", "host_name", "resource") if c in groups.columns]
+    return groups.select(
         F.lit("CISCO-NET-001").alias("rule_id"),
         _key_text([*keys, "first_at", "last_at", "n"]).alias("alert_key"),
         F.col("last_at").alias("detected_at"),
@@ -398,11 +300,11 @@ def interface_findings(events: DataFrame, settings: DetectionSettings, work: Wor
             F.concat(F.lit("Interface: "), F.col("resource")),
             F.concat(F.lit("State changes: "), F.col("n").cast("string")),
         ).alias("evidence"),
-        F.when(F.col("n") <= limit, ordered_event_ids(F.col("members"))).alias("event_ids"),
         F.col("n").alias("event_count"),
         F.col("first_at").alias("first_event_at"),
         F.col("last_at").alias("last_event_at"),
         "host_name",
+        F.lit(None).cast("string").alias("own_event_id"),
         "seen",
     )
 
@@ -413,6 +315,3 @@ def correlated_findings(
     rules = (auth_findings, success_findings, interface_findings)
     return [rule(events, settings, work).select(*FINDING_COLUMNS) for rule in rules]
 
-
-def correlated_alerts(events: DataFrame, settings: DetectionSettings, work: WorkArea | None = None) -> DataFrame:
-    return complete_alerts(reduce(DataFrame.unionByName, correlated_findings(events, settings, work)))

@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from logwarden.functions.text import quoted
 from logwarden.schema import EVENT_COLUMNS, PARSED_COLUMNS, SOURCE_RANK, stable_id
-from logwarden.sources.lines import with_line_numbers
 
 # A reason that ends like this gets the line number appended.
 AT_LINE = " at line "
@@ -35,23 +34,23 @@ def bad_ip(text: Column) -> Column:
 def parsed_rows(rows: DataFrame, source: str, reject_reason: Column) -> DataFrame:
     """Complete a parser's output to the shared columns.
 
-    A filter on parsed columns must not be pushed below the parser: it would repeat the parser's
-    expressions, nested into one another, for every column it mentions. Spark leaves a filter above a
-    projection that is not deterministic, so the reason, which every reader filters on, mentions the
-    partition number (never negative). A filter on the source alone still passes and drops the branch.
+    All parsed columns pass through one struct that mentions the partition number (never negative). Spark
+    doesn't copy or move expressions that are not deterministic, so what stands above works with plain
+    fields: a filter, a join key or an inferred constraint doesn't repeat the parser's nested expressions.
+    A filter on the source still passes and drops the branch.
     """
-    rows = rows.withColumn("reject_reason", F.when(F.spark_partition_id() >= 0, reject_reason))
     extra = {
-        "source": F.lit(source),
-        "source_rank": F.lit(SOURCE_RANK[source]),
-        "event_id": stable_id(
-            F.lit(source), F.col("path"), F.col("split_start"), F.col("split_row"), F.col("raw_event")
-        ),
+        "event_id": stable_id(F.lit(source), F.col("path"), F.col("line_number").cast("string"), F.col("raw_event")),
+        "reject_reason": reject_reason,
     }
     for name, kind in OPTIONAL.items():
         if name not in rows.columns:
             extra[name] = F.lit(None).cast(kind)
-    return rows.withColumns(extra).select(*PARSED_COLUMNS)
+    outside = {"source": F.lit(source), "source_rank": F.lit(SOURCE_RANK[source])}
+    inside = [name for name in PARSED_COLUMNS if name not in (*outside, "path", "line_number")]
+    row = F.when(F.spark_partition_id() >= 0, F.struct(*inside))
+    parsed = rows.withColumns(extra).select("path", "line_number", row.alias("row"))
+    return parsed.select("path", "line_number", "row.*").withColumns(outside).select(*PARSED_COLUMNS)
 
 
 def union_sources(*parsed: DataFrame) -> DataFrame:
@@ -65,11 +64,8 @@ def accepted(parsed: DataFrame) -> DataFrame:
 
 def rejected(parsed: DataFrame) -> DataFrame:
     """Rejected lines with their physical line number and the reason."""
-    rows = parsed.where(~F.col("blank") & F.col("reject_reason").isNotNull()).select(
-        "source", "source_rank", "path", "split_start", "split_row", "raw_event", "reject_reason"
-    )
     reason = F.col("reject_reason")
     at_line = F.when(reason.endswith(AT_LINE), F.concat(reason, F.col("line_number").cast("string")))
-    return with_line_numbers(rows, parsed).select(
+    return parsed.where(~F.col("blank") & reason.isNotNull()).select(
         "source", "path", "line_number", at_line.otherwise(reason).alias("reason"), "raw_event", "source_rank"
     )

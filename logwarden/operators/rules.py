@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logwarden.operators.catalog import complete_alerts
 from logwarden.schema import CISCO, CLOUDTRAIL, LINUX, position
 from logwarden.settings import DetectionSettings
 
@@ -81,7 +80,7 @@ def direct_findings(events: DataFrame, settings: DetectionSettings) -> DataFrame
         .when(
             F.col("rule_id") == "AWS-NETWORK-001",
             F.array(
-                F.lit("Public CIDR: " + " or ".join(ANYWHERE)), F.concat(F.lit("Administrative ports: "), listed)
+                F.lit("Public CIDR: 0.0.0.0/0 or ::/0"), F.concat(F.lit("Administrative ports: "), listed)
             ),
         )
         .otherwise(_texts(()))
@@ -98,14 +97,11 @@ def direct_findings(events: DataFrame, settings: DetectionSettings) -> DataFrame
         "user_name",
         "resource",
         evidence.alias("evidence"),
-        F.array("event_id").alias("event_ids"),
         F.lit(1).cast("bigint").alias("event_count"),
         F.col("timestamp").alias("first_event_at"),
         F.col("timestamp").alias("last_event_at"),
         "host_name",
+        F.col("event_id").alias("own_event_id"),
         position().alias("seen"),
     )
 
-
-def direct_alerts(events: DataFrame, settings: DetectionSettings) -> DataFrame:
-    return complete_alerts(direct_findings(events, settings))

@@ -11,7 +11,7 @@ from logwarden.operators.alerts import detect
 from logwarden.operators.cisco import parse_cisco
 from logwarden.operators.cloudtrail import parse_cloudtrail
 from logwarden.operators.linux import parse_linux
-from logwarden.operators.overflow import overflow_members
+from logwarden.operators.members import alert_members, with_event_ids
 from logwarden.operators.reporting import run_metadata, run_summary, source_summary
 from logwarden.operators.routing import accepted, rejected, union_sources
 from logwarden.plans.workarea import WorkArea
@@ -29,6 +29,7 @@ class AnalysisResult:
     settings: DetectionSettings
     parsed: DataFrame
     alerts: DataFrame
+    work: WorkArea
 
     @property
     def events(self) -> DataFrame:
@@ -46,12 +47,14 @@ class AnalysisResult:
     def run_summary(self) -> DataFrame:
         return run_summary(self.parsed, self.alerts)
 
-    @property
-    def duration_seconds(self) -> float:
-        return round((self.completed_at - self.started_at).total_seconds(), 4)
+    def members(self) -> DataFrame:
+        """The events of all alerts, as rows."""
+        return alert_members(self.events, self.alerts, self.settings)
 
-    def overflow_members(self) -> DataFrame:
-        return overflow_members(self.events, self.alerts, self.settings)
+    @property
+    def documents(self) -> DataFrame:
+        """Alerts with the list of their events."""
+        return with_event_ids(self.alerts, self.members())
 
     def metadata(self) -> DataFrame:
         return run_metadata(self.parsed.sparkSession, self.started_at, self.completed_at)
@@ -64,27 +67,23 @@ def analyze(
     cloudtrail: str | list[str],
     settings: DetectionSettings | None = None,
     year: int = 2026,
-    written: bool = True,
 ) -> AnalysisResult:
     """Parse all sources and run every rule.
 
-    With ``written`` the parsed lines, the qualifying groups and the alerts are written to a work area
-    in the cluster's shared folder: the text is read and parsed once, every rule reads only its columns
-    and its source's files, and later outputs read the alerts instead of working them out again.
-    Without it the tables are plans that run when they are used.
+    The parsed lines, the numbers of groups and the alerts are written to a work area in the cluster's
+    shared folder (``spark.checkpoint.dir``): the text is read and parsed once, every rule reads only its
+    columns and its source's files, plans stay small, and a lost executor costs no more than its tasks.
+    ``work.clear()`` of the result removes the area.
     """
     prepare_session(spark)
     started = datetime.now(UTC)
     settings = settings or DetectionSettings()
-    work = WorkArea(spark) if written else None
+    work = WorkArea(spark)
     parsed = union_sources(
         parse_cisco(read_log_lines(spark, cisco), year),
         parse_linux(read_log_lines(spark, linux), year),
         parse_cloudtrail(read_log_lines(spark, cloudtrail)),
     )
-    if work is not None:
-        parsed = work.write(parsed, "parsed", "source")
-    alerts = detect(accepted(parsed), settings, work)
-    if work is not None:
-        alerts = work.write(alerts, "alerts")
-    return AnalysisResult(started, datetime.now(UTC), settings, parsed, alerts)
+    parsed = work.write(parsed, "parsed", "source")
+    alerts = work.write(detect(accepted(parsed), settings, work), "alerts")
+    return AnalysisResult(started, datetime.now(UTC), settings, parsed, alerts, work)

@@ -17,9 +17,8 @@ SOURCE_LABEL = {
     CLOUDTRAIL: "AWS CloudTrail",
 }
 
-# Where a line stands in the input. split_row grows along a split but only its differences mean
-# anything; exact line numbers come from sources.lines.with_line_numbers.
-POSITION = ["source_rank", "path", "split_start", "split_row"]
+# Where a line stands in the input.
+POSITION = ["source_rank", "path", "line_number"]
 
 # Columns of a normalized event that the reference model has, in its order.
 EVENT_FIELDS = [
@@ -65,9 +64,13 @@ ALERT_FIELDS = [
     "false_positive_notes",
 ]
 
-# What an alert carries besides: how many events it covers, their time range and host, and its place
-# among alerts of the same score and time.
-ALERT_EXTRAS = ["event_count", "first_event_at", "last_event_at", "host_name", "seen"]
+# What an alert carries besides: how many events it covers, their time range and host, the one event it
+# is about if there is one, and its place among alerts of the same score and time.
+ALERT_EXTRAS = ["event_count", "first_event_at", "last_event_at", "host_name", "own_event_id", "seen"]
+
+# The table of alerts. The events of an alert are rows of their own (operators.members); only documents
+# list them.
+ALERT_COLUMNS = [name for name in ALERT_FIELDS if name != "event_ids"] + ALERT_EXTRAS
 
 
 def position() -> Column:

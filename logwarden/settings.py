@@ -78,17 +78,12 @@ class Aws:
 
 @dataclass(frozen=True)
 class Scale:
-    """Parameters of how the work is spread; none of them changes which alerts are raised.
+    """How the work is spread; it changes no result. ``salts``: tasks that share a busy key's events."""
 
-    ``inline_items`` bounds the lists carried inside one alert row; longer ones are given by the
-    alert's key and time range (see ``operators.correlate.overflow_members``).
-    """
-
-    inline_items: int = 10_000
     salts: int = 8
 
     def __post_init__(self) -> None:
-        _at_least_one(self, "inline_items", "salts")
+        _at_least_one(self, "salts")
 
 
 @dataclass(frozen=True)

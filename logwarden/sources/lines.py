@@ -17,14 +17,9 @@ SPLIT = ["path", "split_start"]
 
 
 def read_log_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Every physical line of the files, blank ones included: value, path, split_start, split_row."""
-    return with_place(spark.read.text(paths))
-
-
-def with_place(text: DataFrame) -> DataFrame:
-    """The columns of ``read_log_lines`` for an open text source (batch or streaming)."""
+    """Every physical line of the files, blank ones included: value, path, line_number from 1."""
     place = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split_start")]
-    return text.select("value", *place, F.monotonically_increasing_id().alias("split_row"))
+    return numbered(spark.read.text(paths).select("value", *place, F.monotonically_increasing_id().alias("split_row")))
 
 
 def prepare_lines(lines: DataFrame) -> DataFrame:
@@ -41,7 +36,7 @@ def split_offsets(lines: DataFrame) -> DataFrame:
     )
 
 
-def with_line_numbers(rows: DataFrame, lines: DataFrame) -> DataFrame:
-    """Add line_number, from 1, to some of the rows of ``lines``; no row of ``lines`` may be missing there."""
+def numbered(lines: DataFrame) -> DataFrame:
+    """Lines (value, path, split_start, split_row) with their line_number; all lines of a file must be there."""
     number = F.col("lines_before") + F.col("split_row") - F.col("first_row") + 1
-    return rows.join(split_offsets(lines), SPLIT).withColumn("line_number", number).drop("lines_before", "first_row")
+    return lines.join(split_offsets(lines), SPLIT).select("value", "path", number.alias("line_number"))

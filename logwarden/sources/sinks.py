@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
@@ -12,36 +11,25 @@ from logwarden.operators.alerts import events_in_input_order, rank_alerts
 from logwarden.operators.ecs import alert_record, event_record, to_alert_documents, to_ecs, to_json_with_nulls
 from logwarden.operators.reporting import csv_rows
 
-DEFAULT_PREFIX = "security-analytics"
 
-
-def index_prefix(text: str) -> str:
-    """An index name prefix: lower case, other characters than a-z, 0-9, _ and - replaced by a dash."""
-    prefix = re.sub(r"[^a-z0-9_-]+", "-", text.strip().lower()).strip("-_")
-    if not prefix:
-        raise ValueError("index prefix cannot be empty")
-    return prefix
-
-
-def index_prefix_column(text: Column) -> Column:
-    """``index_prefix`` for a column; null where nothing is left."""
+def index_prefix(text: Column) -> Column:
+    """An index name's beginning: a-z, 0-9, _ and - stay, anything else becomes dashes; none left is an error."""
     dashed = F.regexp_replace(F.lower(text), "[^a-z0-9_-]+", "-")
-    return F.nullif(F.regexp_replace(dashed, r"^[-_]+|[-_]+\z", ""), F.lit(""))
+    left = F.nullif(F.regexp_replace(dashed, r"^[-_]+|[-_]+\z", ""), F.lit(""))
+    return F.coalesce(left, F.raise_error(F.lit("index prefix cannot be empty")).cast("string"))
 
 
-def index_names(prefix: str, day: date | datetime) -> tuple[str, str]:
-    """Names of the event index and the alert index of a run that started on a day."""
-    stem, suffix = index_prefix(prefix), day.strftime("%Y.%m.%d")
-    return f"{stem}-events-{suffix}", f"{stem}-alerts-{suffix}"
+def index_name(prefix: str, kind: str, day: date | datetime) -> Column:
+    """Name of the index of events or alerts of a run that started on a day."""
+    return F.concat(index_prefix(F.lit(prefix)), F.lit(f"-{kind}-{day:%Y.%m.%d}"))
 
 
 def index_documents(events: DataFrame, alerts: DataFrame, prefix: str, day: date | datetime) -> DataFrame:
-    """All documents with the index each belongs to."""
-    event_index, alert_index = index_names(prefix, day)
+    """All documents with the index each belongs to; the alerts have their ``event_ids``."""
     return (
         to_ecs(events)
-        .select(F.lit(event_index).alias("_index"), "document")
-        .unionByName(to_alert_documents(alerts).select(F.lit(alert_index).alias("_index"), "document"))
+        .select(index_name(prefix, "events", day).alias("_index"), "document")
+        .unionByName(to_alert_documents(alerts).select(index_name(prefix, "alerts", day).alias("_index"), "document"))
     )
 
 
@@ -71,11 +59,10 @@ def write_json_report(result, path: str) -> None:
     def whole(table: DataFrame, name: str) -> None:
         table.write.option("ignoreNullFields", "false").json(f"{path}/{name}")
 
-    records(rank_alerts(result.alerts), alert_record(), "alerts")
+    records(rank_alerts(result.documents), alert_record(), "alerts")
     records(events_in_input_order(result.events), event_record(), "events")
     rejects = result.rejects.orderBy("source_rank", "path", "line_number")
     whole(rejects.select("source", "path", "line_number", "reason", "raw_event"), "rejected_events")
-    whole(result.overflow_members(), "overflow_members")
     whole(result.sources.orderBy("source_rank", "path").drop("source_rank", "source"), "sources")
     whole(result.run_summary, "summary")
     whole(result.metadata(), "metadata")

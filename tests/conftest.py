@@ -34,7 +34,7 @@ def lines_of(spark):
     """Lines as the readers give them, from a list of texts."""
 
     def build(texts, path="/logs/test.log"):
-        rows = [(text, path, 0, number) for number, text in enumerate(texts)]
-        return spark.createDataFrame(rows, "value string, path string, split_start bigint, split_row bigint")
+        rows = [(text, path, number) for number, text in enumerate(texts, 1)]
+        return spark.createDataFrame(rows, "value string, path string, line_number bigint")
 
     return build

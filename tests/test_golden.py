@@ -5,8 +5,9 @@ from logwarden.operators.alerts import rank_alerts
 from logwarden.operators.reporting import severity_counts
 
 
-def check_alerts(alerts):
-    rows = rank_alerts(alerts).collect()
+def check_alerts(result):
+    rows = rank_alerts(result.alerts).collect()
+    ids = {r.alert_id: r.event_ids for r in result.documents.collect()}
     assert len(rows) == len(GOLDEN_ALERTS)
     for row, (rule, score, severity, clock, last, user, resource) in zip(rows, GOLDEN_ALERTS):
         assert (row.rule_id, row.risk_score, row.severity) == (rule, score, severity)
@@ -15,18 +16,23 @@ def check_alerts(alerts):
         assert (row.user_name, row.resource) == (user, resource)
         own = [e for e in row.evidence if not e.startswith(("Action: ", "Message: "))]
         assert own == GOLDEN_EVIDENCE[rule]
-        assert len(row.event_ids) == row.event_count
+        assert len(ids[row.alert_id]) == len(set(ids[row.alert_id])) == row.event_count
 
 
 def test_alerts_in_order(result):
-    check_alerts(result.alerts)
-
-
-def test_plan_without_written_tables_gives_the_same(spark, sample_paths, result):
-    lazy = analyze(spark, **sample_paths, written=False)
-    check_alerts(lazy.alerts)
-    ids = lambda r: sorted((a.alert_id, a.event_ids) for a in r.alerts.collect())
-    assert ids(lazy) == ids(result)
+    check_alerts(result)
+
+
+def test_ids_do_not_depend_on_how_files_are_split(spark, sample_paths, result):
+    key, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(key, "120")
+    try:
+        split = analyze(spark, **sample_paths)
+        ids = lambda r: sorted((a.alert_id, a.event_ids) for a in r.documents.collect())
+        assert ids(split) == ids(result)
+        assert sorted(r.line_number for r in split.events.where("source = 'linux_auth'").collect()) == [1, 2, 3, 4, 5, 6]
+    finally:
+        spark.conf.set(key, before)
 
 
 def test_counts(result):
