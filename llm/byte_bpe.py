@@ -3,8 +3,8 @@
 The text is split by the vocabulary's pattern. A word is held as its bytes in hexadecimal, in brackets: `<61><62>`.
 A fold merges: it looks up the ranks of all neighbouring pieces in a literal rank map, takes the least, and
 replaces that pair by their union wherever it stands (in a vocabulary built by merges nothing with a lower rank can
-come of it, so this is the same as one merge at a time), until no pair has a rank. The map is an array of small maps,
-dealt by a hash of the piece, so that a lookup doesn't grow with the vocabulary.
+come of it, so this is the same as one merge at a time), until no pair has a rank. The map is dealt by a hash
+of the piece, so that a lookup doesn't grow with the vocabulary.
 
 Distinct words of the whole corpus are counted, the most frequent ones (a bounded number) are encoded once, and their
 ids go into a second literal map; a text then looks up its words there and folds only those that aren't in it. Texts
@@ -16,7 +16,7 @@ Null texts count as empty and have no ids. Rows stay as they are, repeated ones
 from __future__ import annotations
 
 import base64
-import json
+import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -27,7 +27,7 @@ from llm.tables import stage
 #: White space as Unicode has it, spelled out: Java's \s is ASCII's alone.
 _SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
 #: Frequent words kept in a literal; the others are encoded where they stand.
-_WORDS = 100_000
+_WORDS = 60_000
 
 
 @dataclass(frozen=True)
@@ -54,21 +54,27 @@ def _slot(key: Column, size: int) -> Column:
     return F.pmod(F.crc32(key.cast("binary")), F.lit(size)).cast("int")
 
 
-def literal_map(entries: dict[str, object], kind: str) -> Callable[[Column], Column]:
-    """A lookup in a literal: null for other keys. One JSON text is parsed once, when the plan is made."""
-    import zlib
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often it is used there."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def literal_map(entries: dict[str, object]) -> Callable[[Column], Column]:
+    """A lookup in a literal, by hexadecimal keys; the value as text, null for other keys.
 
+    The literal is an array of short texts `,key:value,key:value,`, which takes far less memory than maps do.
+    """
     size = max(1, len(entries) // 6)
-    buckets: list[dict] = [{} for _ in range(size)]
+    buckets = [[""] for _ in range(size)]
     for key, value in entries.items():
-        buckets[zlib.crc32(key.encode()) % size][key] = value
-    table = F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False)), f"array<map<string,{kind}>>")
-    return lambda key: F.try_element_at(F.get(table, _slot(key, size)), key)
+        buckets[zlib.crc32(key.encode()) % size].append(f"{key}:{value}")
+    table = F.split(F.lit("\n".join(",".join([*b, ""]) for b in buckets)), "\n")
 
+    def look(key: Column, bucket: Column) -> Column:
+        at = F.instr(bucket, F.concat(F.lit(","), key, F.lit(":")))
+        return _let(at, lambda i: F.when(i > 0, F.substring_index(F.substr(bucket, i + F.length(key) + 2), ",", 1)))
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` of a value that is computed once, however often it is used there."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return lambda value: _let(value, lambda key: _let(F.get(table, _slot(key, size)), lambda bucket: look(key, bucket)))
 
 
 def _parts(word: Column) -> Column:
@@ -86,7 +92,7 @@ def merge(whole: Column, rank: Callable[[Column], Column]) -> Column:
 
     def ranks_of(parts: Column) -> Column:
         n = F.size(parts) - 1
-        return F.zip_with(F.slice(parts, 1, n), F.slice(parts, 2, n), lambda a, b: rank(F.concat(a, b)))
+        return F.zip_with(F.slice(parts, 1, n), F.slice(parts, 2, n), lambda a, b: rank(F.concat(a, b)).cast("int"))
 
     def step(state: Column, _: Column) -> Column:
         done = F.struct(state["word"].alias("word"), F.lit(True).alias("done"))
@@ -109,10 +115,10 @@ def encode_words(words: Column, rank: Callable[[Column], Column], known: Callabl
     Each step is a transform of its own, as an expression used twice in one would be computed twice.
     """
     none = F.lit(None).cast("string")
-    found = F.transform(words, lambda w: F.struct((known(w) if known else none).alias("ids"), w.alias("word")))
-    bytes_ = F.transform(found, lambda x: F.struct(x["ids"].alias("ids"), F.when(x["ids"].isNull(), F.hex(F.encode(x["word"], "UTF-8"))).alias("word")))
-    merged = F.transform(bytes_, lambda x: F.struct(x["ids"].alias("ids"), F.when(x["ids"].isNull(), merge(x["word"], rank)).alias("word")))
-    return F.transform(merged, lambda x: F.coalesce(x["ids"], F.array_join(F.transform(_parts(x["word"]), lambda p: _little(rank(p))), "")))
+    bytes_ = F.transform(words, lambda w: F.hex(F.encode(w, "UTF-8")))
+    found = F.transform(bytes_, lambda w: F.struct((known(w) if known else none).alias("ids"), w.alias("word")))
+    merged = F.transform(found, lambda x: F.struct(x["ids"].alias("ids"), F.when(x["ids"].isNull(), merge(x["word"], rank)).alias("word")))
+    return F.transform(merged, lambda x: F.coalesce(x["ids"], F.array_join(F.transform(_parts(x["word"]), lambda p: _little(rank(p).cast("int"))), "")))
 
 
 def words_of(text: Column, vocabulary: Vocabulary) -> Column:
@@ -123,14 +129,14 @@ def frequent_words(docs: DataFrame, vocabulary: Vocabulary, most: int = _WORDS)
     """The ids (as digits) of the most frequent words of all texts; `most` bounds their number."""
     counts = docs.select(F.explode(words_of(F.col("text"), vocabulary)).alias("word")).groupBy("word").count()
     top = stage(counts.orderBy(F.desc("count"), "word").limit(most).where(F.length("word") <= 64).select("word"), "frequent-words")
-    rank = literal_map(vocabulary.ranks, "int")
-    return dict(map(tuple, top.select("word", F.get(encode_words(F.array("word"), rank), F.lit(0))).collect()))
+    rank = literal_map(vocabulary.ranks)
+    return dict(map(tuple, top.select(F.hex(F.encode("word", "UTF-8")), F.get(encode_words(F.array("word"), rank), F.lit(0))).collect()))
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, most: int = _WORDS) -> DataFrame:
     """`docs` with `ids`: binary, little-endian 32-bit ids of the whole text."""
-    known = literal_map(frequent_words(docs, vocabulary, most), "string")
-    rank = literal_map(vocabulary.ranks, "int")
+    known = literal_map(frequent_words(docs, vocabulary, most))
+    rank = literal_map(vocabulary.ranks)
     ids = encode_words(words_of(F.col("text"), vocabulary), rank, known)
     return docs.withColumn("ids", F.unhex(F.array_join(ids, "")))
 
@@ -140,7 +146,7 @@ def decode(ids: Column, vocabulary: Vocabulary) -> Column:
     pieces = [""] * (max(vocabulary.ranks.values()) + 1)
     for piece, rank in vocabulary.ranks.items():
         pieces[rank] = piece
-    table = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
+    table = F.split(F.lit(",".join(pieces)), ",")
     digits = F.regexp_extract_all(F.hex(ids), F.lit("(..)(..)(..)(..)"), F.lit(0))
     number = lambda d: F.conv(F.concat(*[F.substring(d, k, 2) for k in (7, 5, 3, 1)]), 16, 10).cast("int")
     return F.unhex(F.array_join(F.transform(digits, lambda d: F.get(table, number(d))), ""))
