@@ -27,7 +27,7 @@ from llm.tables import stage
 #: White space as Unicode has it, spelled out: Java's \s is ASCII's alone.
 _SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
 #: Frequent words kept in a literal; the others are encoded where they stand.
-_WORDS = 60_000
+_WORDS = 30_000
 
 
 @dataclass(frozen=True)
@@ -130,11 +130,12 @@ def frequent_words(docs: DataFrame, vocabulary: Vocabulary, most: int = _WORDS)
     counts = docs.select(F.explode(words_of(F.col("text"), vocabulary)).alias("word")).groupBy("word").count()
     top = stage(counts.orderBy(F.desc("count"), "word").limit(most).where(F.length("word") <= 64).select("word"), "frequent-words")
     rank = literal_map(vocabulary.ranks)
-    return dict(map(tuple, top.select(F.hex(F.encode("word", "UTF-8")), F.get(encode_words(F.array("word"), rank), F.lit(0))).collect()))
+    return dict(map(tuple, top.select(F.hex(F.encode("word", "UTF-8")).alias("word"), F.get(encode_words(F.array("word"), rank), F.lit(0)).alias("ids")).collect()))
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, most: int = _WORDS) -> DataFrame:
     """`docs` with `ids`: binary, little-endian 32-bit ids of the whole text."""
+    docs.sparkSession.conf.set("spark.sql.maxPlanStringLength", "10000")  # the literals would be printed with each plan
     known = literal_map(frequent_words(docs, vocabulary, most))
     rank = literal_map(vocabulary.ranks)
     ids = encode_words(words_of(F.col("text"), vocabulary), rank, known)
