@@ -25,8 +25,11 @@ def base_name(path: Column) -> Column:
     return F.regexp_extract(path, r"[^/\\]*\z", 0)
 
 
-def source_summary(parsed: DataFrame, by_path: bool = True) -> DataFrame:
-    """Parsed and rejected lines per source, and per file unless ``by_path`` is off; no source is left out."""
+def source_summary(parsed: DataFrame, by_path: bool = True, files: DataFrame | None = None) -> DataFrame:
+    """Parsed and rejected lines per source, and per file unless ``by_path`` is off; no source is left out.
+
+    With ``files`` (source, path) there is a row for each of them, for those without lines too.
+    """
     spark = parsed.sparkSession
     sources = spark.createDataFrame(
         [(rank, source, label) for rank, (source, label) in enumerate(SOURCE_LABEL.items())],
@@ -38,6 +41,8 @@ def source_summary(parsed: DataFrame, by_path: bool = True) -> DataFrame:
         F.count_if(line & F.col("reject_reason").isNull()).alias("parsed_events"),
         F.count_if(line & F.col("reject_reason").isNotNull()).alias("rejected_events"),
     )
+    if files is not None and by_path:
+        counts = files.join(counts, keys, "left")
     # The source list has three rows; counts have one row per file at most.
     shown = ["path"] if by_path else []
     return sources.join(counts, "source", "left").select(

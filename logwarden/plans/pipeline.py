@@ -15,9 +15,10 @@ from logwarden.operators.members import alert_members, with_event_ids
 from logwarden.operators.reporting import run_metadata, run_summary, source_summary
 from logwarden.operators.routing import accepted, rejected, union_sources
 from logwarden.plans.workarea import WorkArea
+from logwarden.schema import CISCO, CLOUDTRAIL, LINUX
 from logwarden.session import prepare_session
 from logwarden.settings import DetectionSettings
-from logwarden.sources.lines import read_log_lines
+from logwarden.sources.lines import listed_files, read_log_lines
 
 
 @dataclass(frozen=True)
@@ -30,6 +31,7 @@ class AnalysisResult:
     parsed: DataFrame
     alerts: DataFrame
     work: WorkArea
+    files: DataFrame
 
     @property
     def events(self) -> DataFrame:
@@ -41,7 +43,7 @@ class AnalysisResult:
 
     @property
     def sources(self) -> DataFrame:
-        return source_summary(self.parsed)
+        return source_summary(self.parsed, files=self.files)
 
     @property
     def run_summary(self) -> DataFrame:
@@ -85,5 +87,7 @@ def analyze(
         parse_cloudtrail(read_log_lines(spark, cloudtrail)),
     )
     parsed = work.write(parsed, "parsed", "source")
+    given = {CISCO: cisco, LINUX: linux, CLOUDTRAIL: cloudtrail}
+    files = union_sources(*[listed_files(spark, source, paths) for source, paths in given.items()])
     alerts = work.write(detect(accepted(parsed), settings, work), "alerts")
-    return AnalysisResult(started, datetime.now(UTC), settings, parsed, alerts, work)
+    return AnalysisResult(started, datetime.now(UTC), settings, parsed, alerts, work, files)

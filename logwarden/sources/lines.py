@@ -8,6 +8,8 @@ splits (one small row each) add up to the number of lines before a split.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +24,12 @@ def read_log_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return numbered(spark.read.text(paths).select("value", *place, F.monotonically_increasing_id().alias("split_row")))
 
 
+def listed_files(spark: SparkSession, source: str, paths: str | list[str]) -> DataFrame:
+    """source and path of every input file, those without lines included, as Spark's reader lists them."""
+    listed = [(source, re.sub("^file:/+", "file:/", path)) for path in spark.read.text(paths).inputFiles()]
+    return spark.createDataFrame(listed, "source string, path string")
+
+
 def prepare_lines(lines: DataFrame) -> DataFrame:
     """Stripped text and a flag for lines that hold nothing; they stay in, as they count as lines."""
     return lines.withColumn("raw_event", strip(F.col("value"))).withColumn("blank", F.col("raw_event") == "")

@@ -35,6 +35,13 @@ def test_ids_do_not_depend_on_how_files_are_split(spark, sample_paths, result):
         spark.conf.set(key, before)
 
 
+def test_files_without_lines_have_a_row(spark, sample_paths, tmp_path):
+    (tmp_path / "empty.log").write_text("")
+    more = {**sample_paths, "linux": [sample_paths["linux"], str(tmp_path / "empty.log")]}
+    rows = analyze(spark, **more).sources.where("source = 'linux_auth'").collect()
+    assert sorted((r.path.rsplit("/", 1)[-1], r.parsed_events, r.rejected_events) for r in rows) == [("empty.log", 0, 0), ("linux.log", 6, 0)]
+
+
 def test_counts(result):
     assert result.run_summary.collect()[0].asDict() == {
         "events_analyzed": 15,
