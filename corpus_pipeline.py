@@ -19,11 +19,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeats of runs of three lines go from the texts; documents of which no word is left go, too.
+    """Later repeats of runs of three lines, of fewer lines of 50 words and of whole short texts go from the texts;
+    documents of which no word is left go, too.
 
     `n_chars` follows the text.
     """
-    cut = line_dedup.dedup_lines(docs, run=3)
+    cut = line_dedup.dedup_lines(docs, run=3, words=50)
     kept = cut.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     length = F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text"))
     return kept.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType)).select(docs.columns)

@@ -6,6 +6,10 @@ Fingerprints of all documents are counted, and only positions whose fingerprint
 extended there to both sides, over the windows that the fingerprint stands for. Each window's earliest place stays. The
 lines of all later places, joined to runs, are deleted; the text's other lines, blank ones too, stay as they are.
 
+With `words`, content counts beside the number of lines: fewer lines in a row that hold so many words together are a
+window too, and so is the whole of a text with fewer than `run` lines. A letter of a script written without blanks counts
+as a word there.
+
 Places are ordered by doc_id (null last), then the text's hash, then the line. Rows equal in doc_id and text are one
 document: what goes from one goes from all. A place that overlaps the earliest one in the same document stays. Null
 texts stay null, empty and short ones stay whole. Other columns pass through untouched.
@@ -19,31 +23,44 @@ from llm.tables import stage
 
 _BLANKS = " \t\n\x0b\x0c\r"
 _KEY = ["doc_id", "text_hash"]
+_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+_WORD = rf"[{_UNSPACED}]|[^\s{_UNSPACED}]+"
 
 
-def _lines(text: Column) -> Column:
-    """The lines with a word: their number in the text and the hash of what is left when trimmed."""
+def _lines(text: Column, words: int | None = None) -> Column:
+    """The lines with a word: their number in the text, the hash of what is left when trimmed, and its words if they count."""
+    counted = lambda x: [] if words is None else [F.regexp_count(x["text"], F.lit(_WORD)).alias("words")]
     every = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("line"), F.btrim(x, F.lit(_BLANKS)).alias("text")))
-    return F.transform(F.filter(every, lambda x: x["text"] != ""), lambda x: F.struct(x["line"].alias("line"), F.xxhash64(x["text"]).alias("hash")))
+    return F.transform(F.filter(every, lambda x: x["text"] != ""), lambda x: F.struct(x["line"].alias("line"), F.xxhash64(x["text"]).alias("hash"), *counted(x)))
 
 
-def _windows(lines: Column, run: int) -> Column:
+def _windows(lines: Column, run: int, words: int | None = None) -> Column:
     """For each window: its first line's place, its fingerprint, that line's place, and a hash of the whole window."""
-    places = F.sequence(F.lit(0), F.size(lines) - run)
 
-    def window(at: Column) -> Column:
-        hashes = F.transform(F.slice(lines, at + 1, run), lambda x: x["hash"])
+    def window(at: Column, size: int) -> Column:
+        hashes = F.transform(F.slice(lines, at + 1, size), lambda x: x["hash"])
         least = F.array_min(hashes)
-        last = run - F.array_position(F.reverse(hashes), least).cast("int")
-        return F.struct(at.alias("at"), least.alias("fingerprint"), (at + last).alias("place"), F.xxhash64(hashes).alias("window"))
+        last = size - F.array_position(F.reverse(hashes), least).cast("int")
+        return F.struct(at.alias("at"), F.lit(size).alias("size"), least.alias("fingerprint"), (at + last).alias("place"), F.xxhash64(hashes).alias("window"))
+
+    def enough(at: Column, size: int) -> Column:
+        held = F.aggregate(F.slice(lines, at + 1, size), F.lit(0), lambda n, x: n + x["words"])
+        return (held >= words) | (F.size(lines) == size)
+
+    def of(size: int) -> Column:
+        places = F.sequence(F.lit(0), F.size(lines) - size)
+        if size < run:
+            places = F.filter(places, lambda at: enough(at, size))
+        return F.when(F.size(lines) >= size, F.transform(places, lambda at: window(at, size))).otherwise(F.array())
 
-    return F.when(F.size(lines) >= run, F.transform(places, window)).otherwise(F.array())
+    return of(run) if words is None else F.concat(*[of(size) for size in range(1, run + 1)])
 
 
-def repeated_lines(docs: DataFrame, run: int = 3) -> DataFrame:
+def repeated_lines(docs: DataFrame, run: int = 3, words: int | None = None) -> DataFrame:
     """doc_id, text_hash and `removed`: the numbers of the lines (from 0) of each document that are later repeats."""
-    keyed = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("text_hash"), _lines(F.col("text")).alias("lines"))
-    windows = keyed.select(*_KEY, F.col("lines.line").alias("numbers"), F.explode(_windows(F.col("lines"), run)).alias("w")).select(*_KEY, "w.*", F.slice("numbers", F.col("w.at") + 1, run).alias("numbers"))
+    keyed = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("text_hash"), _lines(F.col("text"), words).alias("lines"))
+    exploded = keyed.select(*_KEY, F.col("lines.line").alias("numbers"), F.explode(_windows(F.col("lines"), run, words)).alias("w"))
+    windows = exploded.select(*_KEY, "w.at", "w.fingerprint", "w.place", "w.window", F.slice("numbers", F.col("w.at") + 1, F.col("w.size")).alias("numbers"))
     windows = stage(windows, "windows")
     chosen = windows.groupBy("fingerprint", *_KEY, "place").agg(F.lit(1).alias("one")).groupBy("fingerprint").agg(F.count("*").alias("n"))
     again = stage(chosen.where("n > 1").select("fingerprint"), "fingerprints")
@@ -52,7 +69,7 @@ def repeated_lines(docs: DataFrame, run: int = 3) -> DataFrame:
     first = near.groupBy("window").agg(F.min(order).alias("first"), F.max(order).alias("end")).where(F.col("first") != F.col("end"))
     first = stage(first.select("window", "first"), "earliest")
     same = F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.hash"))
-    later = near.join(first, "window").where(~(same & (F.col("at") < F.col("first.at") + run)))
+    later = near.join(first, "window").where(~(same & (F.col("at") < F.col("first.at") + F.size("numbers"))))
     return later.groupBy(*_KEY).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("numbers")))).alias("removed"))
 
 
@@ -63,10 +80,10 @@ def _runs(removed: Column) -> Column:
     return F.array_join(F.zip_with(starts, ends, lambda a, b: F.concat_ws("-", a.cast("string"), (b + 1).cast("string"))), ",")
 
 
-def dedup_lines(docs: DataFrame, run: int = 3) -> DataFrame:
+def dedup_lines(docs: DataFrame, run: int = 3, words: int | None = None) -> DataFrame:
     """`docs` with the later repeats deleted from `text`; adds n_lines, n_removed and removed_runs."""
     rows = docs.withColumn("_hash", F.xxhash64("text"))
-    cut = repeated_lines(docs, run).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_of"), "removed")
+    cut = repeated_lines(docs, run, words).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_of"), "removed")
     joined = rows.join(cut, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_of")), "left")
     lines, removed = F.split("text", "\n"), F.coalesce("removed", F.array().cast("array<int>"))
     # bound as a lambda's variable, the lines are split once and not once for each of them
@@ -82,7 +99,7 @@ def dedup_lines(docs: DataFrame, run: int = 3) -> DataFrame:
     )
 
 
-#: The same rows for tables without null or repeated ids.
+#: The same rows for tables without null or repeated ids, and without `words`.
 ORACLE = r"""
 WITH lines AS (
   SELECT doc_id, t.line - 1 AS line, t.raw, trim(t.raw, E' \t\n\x0b\x0c\r') AS body
