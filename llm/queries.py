@@ -55,7 +55,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unit_dedup.dedup_units(documents(spark, sf_dir).select("doc_id", "text"), kind="sentence", min_words=8)
+    return unit_dedup.dedup_units(documents(spark, sf_dir).select("doc_id", "text"), kind="sentence", min_words=8, min_chars=20)
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,13 @@
 
 Texts are cut into units: at blank lines (`paragraph`), at line ends (`line`), or at line ends and after the marks that
 end a sentence (`sentence`, so that a passage set into the middle of a line is found too). A unit is normalised: lower
-case, and runs of other characters than letters and digits as one space. Units of at least `min_words` words are hashed,
-the digests are grouped over all documents, and the earliest occurrence stays; the rest is removed from the text, and its
-places in the original text are returned.
+case, and runs of other characters than letters and digits as one space. Units of at least `min_words` words (two letters
+of a script written without blanks count as one) are hashed, the digests are grouped over all documents, and the earliest
+occurrence stays; the rest is removed from the text, and its places in the original text are returned.
+
+With `min_chars`, whole paragraphs and lines of at least so many normalised characters are units too, so that a repeated
+one goes as a whole, whatever it is cut into. A unit with the words of one around it is the same unit. What is removed
+inside another removed unit isn't returned on its own.
 
 Occurrences are ranked by doc_id (null last), then by the text's hash, then by place. Rows equal in doc_id and text are
 one document. Texts are cut and hashed in tasks of their own; only digests and places are shuffled, digests that occur
@@ -19,18 +23,32 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from llm.batches import map_texts
 from llm.tables import stage
 
+#: Marks that end a sentence whether or not a blank follows.
+_ENDS = "\u3002\uff01\uff1f\uff61\u0964\u061f"
 #: A unit with what ends it.
 UNITS = {
     "paragraph": re.compile(r".+?(?:\n[ \t\r]*\n+|\Z)", re.DOTALL),
     "line": re.compile(r"[^\n]*\n|[^\n]+"),
-    "sentence": re.compile(r"[^\n.!?]*(?:[.!?]+(?![\s])[^\n.!?]*)*(?:[.!?]+[ \t]*|\n|\Z)"),
+    "sentence": re.compile(rf"[^\n.!?{_ENDS}]*(?:[.!?]+(?![\s.!?{_ENDS}])[^\n.!?{_ENDS}]*)*(?:[.!?{_ENDS}]+[ \t]*|\n|\Z)"),
 }
 _WORDS = re.compile(r"[^\W_]+")
+#: Letters of scripts written without blanks: Thai, Lao, Myanmar, Khmer, kana, Han.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\U00020000-\U0003ffff]")
+
+
+def _enough(part: str, words: list[str], min_words: int) -> bool:
+    return len(words) >= min_words or not part.isascii() and bool(words) and len(_UNSPACED.findall(part)) >= 2 * min_words
+
+
+def _place(text: str, start: int, end: int) -> tuple[int, int]:
+    part = text[start:end]
+    start += len(part) - len(part.lstrip())
+    return start, start + len(part.strip())
 
 
 def units(text: str, kind: str, min_words: int) -> list[tuple[int, int, int]]:
@@ -39,17 +57,44 @@ def units(text: str, kind: str, min_words: int) -> list[tuple[int, int, int]]:
     for found in UNITS[kind].finditer(text):
         part = found[0]
         words = _WORDS.findall(part.lower())
-        if len(words) >= min_words:
-            start = found.start() + len(part) - len(part.lstrip())
-            out.append((start, start + len(part.strip()), xxhash.xxh3_64_intdigest(" ".join(words))))
+        if _enough(part, words, min_words):
+            out.append((*_place(text, *found.span()), xxhash.xxh3_64_intdigest(" ".join(words))))
+    return out
+
+
+def nested_units(text: str, kind: str, min_words: int, min_chars: int) -> list[tuple[int, int, int]]:
+    """The units of a kind, and the whole paragraphs and lines around them."""
+    out = []
+
+    def add(start: int, end: int, words: str) -> None:
+        out.append((*_place(text, start, end), xxhash.xxh3_64_intdigest(words)))
+
+    for paragraph in UNITS["paragraph"].finditer(text):
+        lines = []
+        for line in UNITS["line"].finditer(text, *paragraph.span()):
+            cut = [line] if kind != "sentence" else UNITS["sentence"].finditer(text, *line.span())
+            parts = [(part, words) for part in cut if (words := _WORDS.findall(part[0].lower()))]
+            if parts:
+                lines.append((line, " ".join(" ".join(words) for _, words in parts), parts))
+        whole = " ".join(words for _, words, _ in lines)
+        if len(whole) >= min_chars:
+            add(*paragraph.span(), whole)
+        for line, line_words, parts in lines:
+            if len(line_words) >= min_chars and line_words != whole:
+                add(*line.span(), line_words)
+            for part, words in parts if kind == "sentence" else ():
+                joined = " ".join(words)
+                if _enough(part[0], words, min_words) and (len(joined) < min_chars or joined not in (line_words, whole)):
+                    add(*part.span(), joined)
     return out
 
 
-def occurrences(docs: DataFrame, kind: str, min_words: int) -> DataFrame:
-    """doc_id, text_hash, start, end, digest of each unit with enough words."""
+def occurrences(docs: DataFrame, kind: str, min_words: int, min_chars: int | None = None) -> DataFrame:
+    """doc_id, text_hash, start, end, digest of each unit that is long enough."""
+    cut = (lambda t: units(t, kind, min_words)) if min_chars is None else (lambda t: nested_units(t, kind, min_words, min_chars))
 
     def block(texts: list[str | None], rows: pa.RecordBatch) -> dict | None:
-        found = [units(t, kind, min_words) if t else [] for t in texts]
+        found = [cut(t) if t else [] for t in texts]
         owner = np.repeat(np.arange(len(texts)), [len(x) for x in found])
         if not len(owner):
             return None
@@ -67,20 +112,23 @@ def occurrences(docs: DataFrame, kind: str, min_words: int) -> DataFrame:
     return map_texts(rows, block, "doc_id long, text_hash long, start int, end int, digest long")
 
 
-def repeats(docs: DataFrame, kind: str = "sentence", min_words: int = 8) -> DataFrame:
+def repeats(docs: DataFrame, kind: str = "sentence", min_words: int = 8, min_chars: int | None = None) -> DataFrame:
     """doc_id, text_hash and `spans` (start, end) of the units that occur earlier, for documents that have some."""
-    every = stage(occurrences(docs, kind, min_words), "units")
+    every = stage(occurrences(docs, kind, min_words, min_chars), "units")
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "start")
     first = every.groupBy("digest").agg(F.min(order).alias("first"), F.max(order).alias("end_")).where(F.col("first") != F.col("end_"))
     first = stage(first.select("digest", "first"), "repeated-units")
     later = every.join(first, "digest").where(order != F.col("first"))
-    return later.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
+    # units stand in one another or apart: one that ends within an earlier one is in it
+    before = W.partitionBy("doc_id", "text_hash").orderBy("start", F.desc("end")).rowsBetween(W.unboundedPreceding, -1)
+    outer = later.withColumn("held", F.max("end").over(before)).where("held is null or end > held")
+    return outer.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
 
 
-def dedup_units(docs: DataFrame, kind: str = "sentence", min_words: int = 8) -> DataFrame:
+def dedup_units(docs: DataFrame, kind: str = "sentence", min_words: int = 8, min_chars: int | None = None) -> DataFrame:
     """`docs` with the repeats removed from `text`; adds n_removed, removed_chars and removed_spans (`start-end`, ...)."""
     rows = docs.withColumn("_hash", F.xxhash64("text"))
-    cut = repeats(docs, kind, min_words).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_of"), "spans")
+    cut = repeats(docs, kind, min_words, min_chars).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_of"), "spans")
     joined = rows.join(cut, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_of")), "left")
     spans = F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>"))
     ends = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["end"]))
