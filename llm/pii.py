@@ -4,9 +4,13 @@ Base rules find e-mail addresses, IP addresses, card and phone numbers exactly.
 propose spans that may overlap: values assigned to a telling name, long tokens of letters and digits, groups of digits,
 anything around an at sign. Each candidate gets features of its format and its context, all small whole numbers. The
 candidates of all documents are counted by their features (the number of cells is bounded by the features, not by the
-corpus); a candidate counts as right if a strict format confirms it. Boosted trees are grown on those cells, the
-threshold is set on the cells of the documents left out, so that what is selected there is right in `precision` of
-cases, and the trees become one SQL expression. Accepted candidates that no base span overlaps are added.
+corpus); a candidate counts as right if a strict format or its context confirms it: assigned values by the kinds of
+characters in them, tokens by well-known forms, groups of digits by a plus sign, a telling word or Luhn's check, addresses
+by the base rule. What confirms them by the base rules, the plus sign and plain ASCII, is no feature, so numbers and
+addresses of the same form without it are found too; addresses beyond ASCII aren't learned from. Boosted trees are grown
+on the cells of each generator, its threshold is set on its cells of the documents left out, so that what is selected
+there is right in `precision` of cases, and the trees become one SQL expression. Accepted candidates that no base span
+overlaps are added.
 
 Places are code points, ends exclusive. Null texts count as empty. Rows stay as they are, repeated ones, null ids and
 other columns included; a text is searched whole.
@@ -14,16 +18,18 @@ other columns included; a text is searched whole.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+_EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 #: Base rules, in the order in which kinds are listed. Possessive loops and the look-behinds find the same matches in
 #: linear time: a match starts where its run of characters does, or where the match before it ended.
 PATTERNS = {
-    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)" + _EMAIL,
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
@@ -40,7 +46,15 @@ GENERATORS = {
     "address": r"(?<![^\s<(])[^\s@<>()]++@[^\s@<>()]++",
 }
 _GENERATOR_HINTS = {"assigned": r"(?i)" + _NAMES + r"\x20?[:=]", "token": r"[A-Za-z0-9_-]{16}", "digits": r"[0-9]{3}[\x20.-][0-9]", "address": "@"}
-FEATURES = ["generator", "length", "digits", "upper", "lower", "variety", "named", "quoted", "checked"]
+#: Words before a number of a person; a date's form.
+_TELLING = (
+    r"(?:phone|t[eé]l[eé]fono?|t[eé]l[eé]phone|\btel\b|mobile?|\bhandy|\bm[oó]vil|\bcall\b|\bfax\b|\bssn\b|social security|security n"
+    r"|passport|passeport|pasaporte|reisepass|\biban\b)[^0-9\n]*$"
+)
+#: An address with the letters of any script.
+_DOMAIN = r"^\W*[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+[^\p{L}\p{N}]*$"
+_DATE = r"^(?:19|20)[0-9]{2}[.\x20-](?:0?[1-9]|1[0-2])[.\x20-][0-3]?[0-9](?![0-9])"
+FEATURES = ["generator", "length", "digits", "upper", "lower", "variety", "named", "quoted", "checked", "groups", "last", "telling", "kinds", "domain"]
 _SPAN = "struct<kind:int,start:int,end:int>"
 
 
@@ -119,7 +133,7 @@ def listed(spans: Column) -> Column:
 
 
 def candidates(text: Column) -> Column:
-    """The proposals of all generators, each with its features and whether a strict format confirms it."""
+    """The proposals of all generators, each with its features and whether it is confirmed (null: can't be told)."""
     every = []
     for i, (name, pattern) in enumerate(GENERATORS.items()):
         found = matches(text, pattern, _GENERATOR_HINTS[name])
@@ -130,21 +144,30 @@ def candidates(text: Column) -> Column:
         value, size = c["value"], F.length(c["value"])
         digits = F.length(_digits(value))
         payload = F.regexp_extract(value, r"[:=]\x20?[\"']?(.*)", 1)
+        kinds = sum((payload.rlike(x).cast("int") for x in ("[0-9]", r"\p{Ll}.*\p{Lu}", "[!#$%&*+=?@^~|]")), F.lit(0))
+        number = (c["generator"] == 2) & digits.between(7, 15) & ~value.rlike(_DATE)
+        telling = number & c["before"].rlike(_TELLING)
         strict = (
-            F.when(c["generator"] == 0, (F.length(payload) >= 12) & payload.rlike("[0-9]"))
+            F.when(c["generator"] == 0, kinds > 0)
             .when(c["generator"] == 1, value.rlike("^(?:AKIA|ASIA)[0-9A-Z]{16}$|^(?:ghp|gho|ghs)_[A-Za-z0-9]{30,}$|^sk-[A-Za-z0-9]{20,}$"))
-            .otherwise(F.lit(False))
+            .when(c["generator"] == 2, telling | (number & c["before"].rlike(r"\+[0-9][\x20().0-9-]*$")) | (luhn(value) & (digits >= 14)))
+            .when(value.rlike(r"^\p{ASCII}*$"), value.rlike(r"^\W*" + _EMAIL + r"\W*$"))
         )
         return F.struct(
             c["start"].alias("start"), c["end"].alias("end"), c["generator"].alias("generator"),
             F.least(F.floor(size / 4), F.lit(12)).cast("int").alias("length"),
             F.floor(digits * 8 / size).cast("int").alias("digits"),
-            F.least(F.floor(F.length(F.regexp_replace(value, "[^A-Z]", "")) * 8 / size), F.lit(8)).cast("int").alias("upper"),
-            F.least(F.floor(F.length(F.regexp_replace(value, "[^a-z]", "")) * 8 / size), F.lit(8)).cast("int").alias("lower"),
+            F.least(F.floor(F.length(F.regexp_replace(value, r"\P{Lu}", "")) * 8 / size), F.lit(8)).cast("int").alias("upper"),
+            F.least(F.floor(F.length(F.regexp_replace(value, r"\P{Ll}", "")) * 8 / size), F.lit(8)).cast("int").alias("lower"),
             F.least(F.size(F.array_distinct(F.split(value, ""))), F.lit(20)).alias("variety"),
             (F.concat(c["before"], F.lower(value)).rlike(_NAMES)).cast("int").alias("named"),
             (c["before"].rlike("[\"':=]\\s?$") | value.rlike("[:=]")).cast("int").alias("quoted"),
             (luhn(value) & (digits >= 14)).cast("int").alias("checked"),
+            F.when(c["generator"] == 2, F.size(F.split(value, "[^0-9]"))).otherwise(0).alias("groups"),
+            F.when(c["generator"] == 2, F.length(F.regexp_extract(value, "[0-9]+$", 0))).otherwise(0).alias("last"),
+            telling.cast("int").alias("telling"),
+            F.when(c["generator"] == 0, kinds).otherwise(0).alias("kinds"),
+            ((c["generator"] == 3) & value.rlike(_DOMAIN)).cast("int").alias("domain"),
             strict.cast("int").alias("right"),
         )
 
@@ -229,20 +252,23 @@ def _score(model: Trees, candidate: Column) -> Column:
     return out
 
 
-def train(docs: DataFrame, how: Boosting = Boosting()) -> Trees:
-    """Trees from the candidates of all of `docs` (doc_id, text); every fourth document by crc32 sets the threshold."""
+def train(docs: DataFrame, how: Boosting = Boosting()) -> dict[int, Trees]:
+    """Trees for each generator, from the candidates of all of `docs` (doc_id, text); every fourth document by crc32 sets the threshold."""
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
-    found = docs.where("text is not null").select(out.alias("out"), F.explode(candidates(F.col("text"))).alias("c"))
+    found = docs.where("text is not null").select(out.alias("out"), F.explode(candidates(F.col("text"))).alias("c")).where("c.right is not null")
     rows = found.groupBy("out", *[F.col(f"c.{f}").alias(f) for f in FEATURES]).agg(F.count("*").alias("n"), F.sum("c.right").alias("r")).collect()
     cells = [(r.out, tuple(r[f] for f in FEATURES), r.n, r.r) for r in sorted(rows)]
-    return boost([c[1:] for c in cells if not c[0]], [c[1:] for c in cells if c[0]], how)
+    each = {i: [c for c in cells if c[1][0] == i] for i in range(len(GENERATORS))}
+    return {i: boost([c[1:] for c in own if not c[0]], [c[1:] for c in own if c[0]], how) for i, own in each.items()}
 
 
-def _added(text: Column, base: Column, model: Trees) -> Column:
+def _added(text: Column, base: Column, model: dict[int, Trees]) -> Column:
     """Accepted candidates that overlap no base span, joined where they overlap each other."""
-    if not model.trees or math.isinf(model.threshold):
+    useful = {i: m for i, m in model.items() if m.trees and not math.isinf(m.threshold)}
+    if not useful:
         return F.array().cast(f"array<{_SPAN}>")
-    good = F.filter(candidates(text), lambda c: _score(model, c) >= F.lit(model.threshold - 1e-9))
+    accepted = lambda c: [(c["generator"] == i) & (_score(m, c) >= F.lit(m.threshold - 1e-9)) for i, m in useful.items()]
+    good = F.filter(candidates(text), lambda c: functools.reduce(Column.__or__, accepted(c)))
     free = F.filter(good, lambda c: ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
     ordered = F.array_sort(F.transform(free, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"))))
     none = F.array().cast("array<struct<start:int,end:int>>")
@@ -262,8 +288,9 @@ def _added(text: Column, base: Column, model: Trees) -> Column:
     return F.transform(F.aggregate(ordered, none, join), lambda s: F.struct(F.lit(len(KINDS) - 1).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
 
-def find(docs: DataFrame, model: Trees) -> DataFrame:
-    """`docs` with `base` and `spans`: the base spans, and these with the added ones."""
+def find(docs: DataFrame, model: Trees | dict[int, Trees]) -> DataFrame:
+    """`docs` with `base` and `spans`: the base spans, and these with the added ones; `model` for all generators or for each."""
+    model = model if isinstance(model, dict) else dict.fromkeys(range(len(GENERATORS)), model)
     out = docs.withColumn("base", base_spans(F.coalesce("text", F.lit(""))))
     return out.withColumn("spans", _ordered(F.concat("base", _added(F.coalesce("text", F.lit("")), F.col("base"), model))))
 
