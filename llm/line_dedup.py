@@ -1,9 +1,9 @@
-"""Line dedup by winnowing over line hashes, with DataFrame functions only.
+"""Line dedup by windows of line hashes, pre-filtered by winnowing, with DataFrame functions only.
 
 The lines that hold a word, trimmed, are hashed. Of each window of `run` such lines in a row the least hash (the last of
 equal ones) is a fingerprint, so wherever `run` lines occur again, a fingerprint at the same place among them does too.
-Fingerprints of all documents are counted, and only positions whose fingerprint occurs elsewhere go on: a match is
-extended there to both sides, over the windows that the fingerprint stands for. Each window's earliest place stays. The
+Fingerprints of all documents are counted and only pre-filter: windows whose fingerprint occurs at one place drop out, the
+others are grouped directly, by a hash of the whole window. Each window's earliest place stays. The
 lines of all later places, joined to runs, are deleted; the text's other lines, blank ones too, stay as they are.
 
 With `words`, content counts beside the number of lines: fewer lines in a row that hold so many words together are a
