@@ -28,7 +28,7 @@ from llm.tables import stage
 @dataclass(frozen=True)
 class Index:
     """k: neighbours wanted; trees; depth: halvings of the space by a tree; sample: vectors the forest is fitted on;
-    share: of the points, to look at for each query in all trees together; block: points, or queries, compared at once.
+    share: of the points, to look at for each query in all trees together; least: different points to look at, or all; block: points, or queries, compared at once.
 
     Vectors without any structure need a large share: with 64 independent dimensions, two thirds of the points must be
     looked at to find 0.95 of the 20 nearest. Vectors with clusters need far less, and then deeper trees pay."""
@@ -38,6 +38,7 @@ class Index:
     depth: int = 6
     sample: int = 16_384
     share: float = 1.5
+    least: int = 512
     block: int = 4096
     seed: int = 7
 
@@ -73,15 +74,16 @@ class Tree:
         return node - (2**self.depth - 1)
 
 
-def search(trees: list[Tree], query: np.ndarray, sizes: list[np.ndarray], candidates: float) -> list[tuple[int, int]]:
+def search(trees: list[Tree], query: np.ndarray, sizes: list[np.ndarray], candidates: float, least: int = 0) -> list[tuple[int, int]]:
     """The leaves (tree, leaf) to open for a query: the nearest first, until they hold enough.
 
-    `sizes` has the number of vectors in each leaf of each tree.
+    `sizes` has the number of vectors in each leaf of each tree. A vector is held once by each tree, so `least` different
+    ones are met when the leaves of one tree hold as many.
     """
     margins = [t.normal @ query - t.offset for t in trees]
     queue = [(0.0, i, 0) for i in range(len(trees))]
-    out, held = [], 0
-    while queue and held < candidates:
+    out, held, own = [], 0, [0] * len(trees)
+    while queue and (held < candidates or max(own) < least):
         far, i, node = heapq.heappop(queue)
         tree = trees[i]
         while node < len(tree.offset):
@@ -93,6 +95,7 @@ def search(trees: list[Tree], query: np.ndarray, sizes: list[np.ndarray], candid
         if sizes[i][leaf]:
             out.append((i, leaf))
             held += int(sizes[i][leaf])
+            own[i] += int(sizes[i][leaf])
     return out
 
 
@@ -148,10 +151,11 @@ def nearest(vectors: DataFrame, queries, how: Index = Index()) -> DataFrame:
     for r in placed.groupBy("tree", "leaf").count().collect():  # the forest's leaves, a bounded number
         sizes[r.tree][r.leaf] = r["count"]
     known, wanted = spark.sparkContext.broadcast(sizes), how.share * sum(map(int, sizes[0]))
+    least = min(max(how.least, how.k + 1), sum(map(int, sizes[0])))
 
     def probe(batch, matrix):
         ids = batch.column("vec_id").to_pylist()
-        found = [search(forest.value, q, known.value, wanted) for q in matrix]
+        found = [search(forest.value, q, known.value, wanted, least) for q in matrix]
         place = [i for i, leaves in enumerate(found) for _ in leaves]
         flat = [x for leaves in found for x in leaves]
         vector = batch.column("vector").take(pa.array(place, pa.int64()))
