@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm import byte_bpe, jaccard, language, line_dedup, neighbours, packing, pii, quality, toxicity, unit_dedup
+from llm import byte_bpe, collocations, jaccard, language, line_dedup, neighbours, packing, pii, quality, toxicity, unit_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +69,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir), collocations.Mining())
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_line_dedup": op2_line_dedup,
@@ -80,7 +84,9 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_collocations": op11_collocations,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": line_dedup.ORACLE,
+    "op11_collocations": collocations.ORACLE,
 }
