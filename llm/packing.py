@@ -56,7 +56,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         setting = json.loads(self.tokenizer.to_str())
-        mark = setting["model"]["end_of_word_suffix"] or ""
+        self.mark = mark = setting["model"]["end_of_word_suffix"] or ""
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.last[[i for token, i in vocabulary.items() if mark and token.endswith(mark)]] = True

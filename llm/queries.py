@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm import byte_bpe, collocations, jaccard, language, line_dedup, neighbours, packing, pii, quality, toxicity, unit_dedup, whitening
+from llm import byte_bpe, collocations, jaccard, language, line_dedup, neighbours, packing, pii, quality, toxicity, unit_dedup, whitening, window_packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +73,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(documents(spark, sf_dir), collocations.Mining())
 
 
+def op12_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_packing.pack_windows(documents(spark, sf_dir), window_packing.Windows(public_tokenizers.path("word_bpe_49k.json")))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), whitening.Whitening(components=8))
 
@@ -89,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_collocations": op11_collocations,
+    "op12_window_packing": op12_window_packing,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
 ORACLE_SQL: dict[str, str] = {
