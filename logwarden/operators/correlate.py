@@ -5,9 +5,11 @@ reduced to a few numbers, before and after the shuffle; failed logins are counte
 spreads a busy address. Only the names of qualifying groups are gathered. The events of an alert are not
 looked at again here: ``operators.members`` gives them as rows.
 
-The fourth counts, for every success, the failures shortly before it. Events are first reduced to one
-row per address and moment. Each such row of failures is placed into its own time bucket and the next,
-so that a range frame inside one bucket sees everything it needs.
+The fourth counts, for every success, the failures shortly before it. Events are first reduced to one row per
+address and moment. Every moment with successes then asks twice: how many failures its address has up to it, and how many
+before the window; the difference is the answer. Moments and questions are sorted together over ranges of (address,
+moment), so that an address with any number of them is spread over tasks: running sums within a range, and the sums of
+the ranges before, one small row for each.
 """
 
 from __future__ import annotations
@@ -16,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logwarden.functions.times import MICROS, floor_bucket
-from logwarden.plans.workarea import WorkArea, keep
+from logwarden.operators.numbering import RANGE, deal
+from logwarden.plans.workarea import WorkArea
 from logwarden.schema import CISCO, LINUX, position
 from logwarden.settings import DetectionSettings
 
@@ -146,10 +149,10 @@ def qualifying_auth_groups(groups: DataFrame, settings: DetectionSettings) -> Da
     )
 
 
-def auth_findings(events: DataFrame, settings: DetectionSettings, work: WorkArea | None = None) -> DataFrame:
+def auth_findings(events: DataFrame, settings: DetectionSettings, work: WorkArea) -> DataFrame:
     """Brute force and user enumeration."""
-    by_user = keep(auth_users(events, settings), work, "auth_users")
-    groups = keep(qualifying_auth_groups(auth_groups(by_user), settings), work, "auth_groups")
+    by_user = work.write(auth_users(events, settings), work.fresh("auth_users"))
+    groups = work.write(qualifying_auth_groups(auth_groups(by_user), settings), work.fresh("auth_groups"))
     keys = [c for c in ("batch", "source_ip") if c in by_user.columns]
     brute = F.col("rule_id") == BRUTE_FORCE
     named = by_user.where(F.col("user_name") != "").select(*keys, "user_name", "invalid_user")
@@ -192,53 +195,82 @@ def auth_findings(events: DataFrame, settings: DetectionSettings, work: WorkArea
 MOMENT = ["source_ip", "at"]
 
 
-def _auth_moments(events: DataFrame, window_seconds: int) -> DataFrame:
-    """Failures and successes per address and moment, placed into time buckets."""
+def auth_moments(events: DataFrame) -> DataFrame:
+    """Failures and successes per address and moment."""
     failed = F.col("action") == "ssh_login_failed"
     logins = (F.col("source") == LINUX) & F.col("action").isin("ssh_login_failed", "ssh_login_success")
-    moments = (
+    return (
         events.where(logins & F.col("source_ip").isNotNull())
         .groupBy("source_ip", F.unix_micros("timestamp").alias("at"))
         .agg(F.count_if(failed).alias("failures"), F.count_if(~failed).alias("successes"))
     )
-    width = F.lit(window_seconds * MICROS)
-    home = ((F.col("at") - F.pmod(F.col("at"), width)) / width).cast("bigint")
-    places = F.when(F.col("failures") > 0, F.array("home", F.col("home") + 1)).otherwise(F.array("home"))
-    return moments.withColumn("home", home).withColumn("bucket", F.explode(places))
 
 
-def success_hits(moments: DataFrame, settings: DetectionSettings) -> DataFrame:
-    """Address and moment of successes with enough failures before them, and how many."""
+# Questions and answers at one moment: what came before the window's start, failures, what came up to the success.
+_START, _FAILED, _END = 0, 1, 2
+
+
+def _window_rows(moments: DataFrame, window_seconds: int) -> DataFrame:
+    """source_ip, at, kind, of (the success asked for) and failures."""
+    no, width = F.lit(None).cast("bigint"), F.lit(window_seconds * MICROS)
+    row = lambda at, kind, of, n: F.struct(at.alias("at"), F.lit(kind).alias("kind"), of.alias("of"), n.alias("failures"))
+    at, zero = F.col("at"), F.lit(0).cast("bigint")
+    asked = F.when(F.col("successes") > 0, F.array(row(at - width, _START, at, zero), row(at, _END, at, zero)))
+    found = F.when(F.col("failures") > 0, F.array(row(at, _FAILED, no, F.col("failures"))))
+    nothing = F.array().cast("array<struct<at:bigint,kind:int,of:bigint,failures:bigint>>")
+    rows = F.concat(F.coalesce(found, nothing), F.coalesce(asked, nothing))
+    return moments.select("source_ip", F.explode(rows).alias("row")).select("source_ip", "row.*")
+
+
+def success_hits(moments: DataFrame, settings: DetectionSettings, work: WorkArea) -> DataFrame:
+    """Address and moment of successes with enough failures before them, how many, and the first of them."""
     rule = settings.successful_login_after_failures
-    before = (
-        Window.partitionBy("source_ip", "bucket").orderBy("at").rangeBetween(-rule.window_seconds * MICROS, 0)
+    order = [F.col(name) for name in ("source_ip", "at", "kind", "of")]
+    dealt = deal(_window_rows(moments, rule.window_seconds), order, work, "login-moments")
+    ranges = dealt.groupBy("source_ip", RANGE).agg(
+        F.sum("failures").alias("n"), F.min(F.when(F.col("kind") == _FAILED, F.col("at"))).alias("first_failure")
     )
-    return (
-        moments.withColumns(
-            {
-                "n": F.sum("failures").over(before),
-                "first_failure": F.min(F.when(F.col("failures") > 0, F.col("at"))).over(before),
-            }
-        )
-        .where(
-            (F.col("bucket") == F.col("home")) & (F.col("successes") > 0) & (F.col("n") >= rule.failure_threshold)
+    earlier = Window.partitionBy("source_ip").orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("source_ip").orderBy(F.desc(RANGE)).rowsBetween(Window.unboundedPreceding, -1)
+    outside = ranges.select(
+        "source_ip",
+        RANGE,
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("sum_before"),
+        F.min("first_failure").over(later).alias("failure_after"),
+    )
+    here = Window.partitionBy("source_ip", RANGE)
+    running = here.orderBy("at", "kind", "of").rowsBetween(Window.unboundedPreceding, 0)
+    # from the range's end backwards: the nearest failure at or after each row
+    backwards = here.orderBy(F.desc("at"), F.desc("kind"), F.desc("of")).rowsBetween(Window.unboundedPreceding, 0)
+    summed = dealt.select(
+        "*",
+        F.sum("failures").over(running).alias("sum"),
+        F.min(F.when(F.col("kind") == _FAILED, F.col("at"))).over(backwards).alias("next_failure"),
+    )
+    answers = (
+        summed.where(F.col("kind") != _FAILED)
+        .join(work.write(outside, work.fresh("login-ranges")), ["source_ip", RANGE])
+        .withColumn("total", F.col("sum") + F.col("sum_before"))
+        .groupBy("source_ip", F.col("of").alias("at"))
+        .agg(
+            (F.max(F.when(F.col("kind") == _END, F.col("total"))) - F.max(F.when(F.col("kind") == _START, F.col("total")))).alias("n"),
+            F.max(F.when(F.col("kind") == _START, F.coalesce("next_failure", "failure_after"))).alias("first_failure"),
         )
-        .select("source_ip", "at", "bucket", "n", "first_failure")
     )
+    return answers.where(F.col("n") >= rule.failure_threshold)
 
 
-def success_findings(events: DataFrame, settings: DetectionSettings, work: WorkArea | None = None) -> DataFrame:
+def success_findings(events: DataFrame, settings: DetectionSettings, work: WorkArea) -> DataFrame:
     """One finding per success that follows enough failures from its address."""
-    window = settings.successful_login_after_failures.window_seconds
-    moments = _auth_moments(events, window)
-    hits = keep(success_hits(moments, settings), work, "success_hits")
-    successes = (
-        ssh_successes(events)
-        .withColumn("at", F.unix_micros("timestamp"))
-        .select(*MOMENT, "timestamp", "user_name", "host_name", "event_id", position().alias("seen"))
+    salts = settings.scale.salts
+    hits = work.write(success_hits(auth_moments(events), settings, work), work.fresh("success_hits"))
+    # successes of one moment may be many: each meets a copy of its moment's one row
+    hits = hits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    successes = with_salt(ssh_successes(events), salts).select(
+        F.unix_micros("timestamp").alias("at"), "source_ip", "salt", "timestamp", "user_name", "host_name", "event_id", position().alias("seen")
     )
     account = F.coalesce(F.col("user_name"), F.lit("None"))
-    return successes.join(hits, MOMENT).select(
+    return successes.join(hits, [*MOMENT, "salt"]).select(
         F.lit("LINUX-AUTH-003").alias("rule_id"),
         F.col("event_id").alias("alert_key"),
         F.col("timestamp").alias("detected_at"),
@@ -284,7 +316,7 @@ def interface_groups(events: DataFrame, settings: DetectionSettings) -> DataFram
     )
 
 
-def interface_findings(events: DataFrame, settings: DetectionSettings, work: WorkArea | None = None) -> DataFrame:
+def interface_findings(events: DataFrame, settings: DetectionSettings, work: WorkArea) -> DataFrame:
     groups = interface_groups(events, settings)
     keys = [c for c in ("batch", "host_name", "resource") if c in groups.columns]
     return groups.select(
@@ -309,9 +341,23 @@ def interface_findings(events: DataFrame, settings: DetectionSettings, work: Wor
     )
 
 
+#: What finds each group rule's alerts.
+CORRELATIONS = {
+    (BRUTE_FORCE, ENUMERATION): auth_findings,
+    ("LINUX-AUTH-003",): success_findings,
+    ("CISCO-NET-001",): interface_findings,
+}
+
+
 def correlated_findings(
-    events: DataFrame, settings: DetectionSettings, work: WorkArea | None = None
+    events: DataFrame, settings: DetectionSettings, work: WorkArea, rules: set[str] | None = None
 ) -> list[DataFrame]:
-    rules = (auth_findings, success_findings, interface_findings)
-    return [rule(events, settings, work).select(*FINDING_COLUMNS) for rule in rules]
-
+    """Findings of all rules over groups, or of those in ``rules``; what finds none of these isn't run."""
+    found = []
+    for names, find in CORRELATIONS.items():
+        if rules is None:
+            found.append(find(events, settings, work).select(*FINDING_COLUMNS))
+        elif wanted := rules.intersection(names):
+            some = find(events, settings, work).where(F.col("rule_id").isin(*sorted(wanted)))
+            found.append(some.select(*FINDING_COLUMNS))
+    return found

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from logwarden.functions.scoring import SEVERITIES
 from logwarden.functions.text import blank_to_null, iso_text
 from logwarden.operators.ecs import principal
+from logwarden.operators.routing import EVENT, REJECT
 from logwarden.schema import SOURCE_LABEL
 
 # Texts for missing values in reports. Fixed values.
@@ -35,11 +36,10 @@ def source_summary(parsed: DataFrame, by_path: bool = True, files: DataFrame | N
         [(rank, source, label) for rank, (source, label) in enumerate(SOURCE_LABEL.items())],
         "source_rank int, source string, name string",
     )
-    line = ~F.col("blank")
     keys = ["source", "path"] if by_path else ["source"]
     counts = parsed.groupBy(*keys).agg(
-        F.count_if(line & F.col("reject_reason").isNull()).alias("parsed_events"),
-        F.count_if(line & F.col("reject_reason").isNotNull()).alias("rejected_events"),
+        F.count_if(F.col("fate") == EVENT).alias("parsed_events"),
+        F.count_if(F.col("fate") == REJECT).alias("rejected_events"),
     )
     if files is not None and by_path:
         counts = files.join(counts, keys, "left")
@@ -56,9 +56,9 @@ def source_summary(parsed: DataFrame, by_path: bool = True, files: DataFrame | N
 
 def run_summary(parsed: DataFrame, alerts: DataFrame) -> DataFrame:
     """One row: how many events, rejected lines and alerts."""
-    lines = parsed.where(~F.col("blank")).agg(
-        F.count_if(F.col("reject_reason").isNull()).alias("events_analyzed"),
-        F.count_if(F.col("reject_reason").isNotNull()).alias("events_rejected"),
+    lines = parsed.agg(
+        F.count_if(F.col("fate") == EVENT).alias("events_analyzed"),
+        F.count_if(F.col("fate") == REJECT).alias("events_rejected"),
     )
     # One row each: joining them is no product of tables.
     one = F.lit(1).alias("one")
@@ -81,6 +81,32 @@ def alert_source_counts(alerts: DataFrame) -> DataFrame:
     return alerts.groupBy("source").agg(F.count(F.lit(1)).alias("alerts"))
 
 
+def run_report(parsed: DataFrame, alerts: DataFrame) -> DataFrame:
+    """All counts of a run by one aggregation over its lines and alerts.
+
+    section, source, path, severity, events, rejects and alerts; the sections are `file` (lines of each file), `source`
+    (lines and alerts of each), `severity` (alerts of each) and `run` (one row). All sources and severities are there.
+    """
+    spark = parsed.sparkSession
+    none, zero, one = F.lit(None).cast("string"), F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    count = lambda fate: F.when(F.col("fate") == fate, one).otherwise(zero)
+    lines = parsed.select("source", "path", none.alias("severity"), count(EVENT).alias("events"), count(REJECT).alias("rejects"), zero.alias("alerts"))
+    found = alerts.select("source", none.alias("path"), "severity", zero.alias("events"), zero.alias("rejects"), one.alias("alerts"))
+    known = [(name, None, None, 0, 0, 0) for name in SOURCE_LABEL] + [(None, None, name, 0, 0, 0) for name in SEVERITIES]
+    facts = lines.unionByName(found).unionByName(spark.createDataFrame(known, lines.schema))
+    sums = facts.groupingSets([["source", "path"], ["source"], ["severity"], []], "source", "path", "severity").agg(
+        F.grouping_id().alias("left_out"), *[F.sum(name).alias(name) for name in ("events", "rejects", "alerts")]
+    )
+    # bits of what a set leaves out: source 4, path 2, severity 1; the fact rows of other sections have nulls there
+    section = (
+        F.when((F.col("left_out") == 1) & F.col("path").isNotNull(), "file")
+        .when((F.col("left_out") == 3) & F.col("source").isNotNull(), "source")
+        .when((F.col("left_out") == 6) & F.col("severity").isNotNull(), "severity")
+        .when(F.col("left_out") == 7, "run")
+    )
+    return sums.select(section.alias("section"), "source", "path", "severity", "events", "rejects", "alerts").where("section is not null")
+
+
 # Columns of the flat alert list, in order. Fixed values.
 CSV_COLUMNS = [
     "alert_id",

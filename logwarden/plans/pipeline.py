@@ -13,7 +13,7 @@ from logwarden.operators.cloudtrail import parse_cloudtrail
 from logwarden.operators.linux import parse_linux
 from logwarden.operators.members import alert_members, with_event_ids
 from logwarden.operators.reporting import run_metadata, run_summary, source_summary
-from logwarden.operators.routing import accepted, rejected, union_sources
+from logwarden.operators.routing import accepted, rejected, union_sources, write_outcomes
 from logwarden.plans.workarea import WorkArea
 from logwarden.schema import CISCO, CLOUDTRAIL, LINUX
 from logwarden.session import prepare_session
@@ -55,8 +55,8 @@ class AnalysisResult:
 
     @property
     def documents(self) -> DataFrame:
-        """Alerts with the list of their events."""
-        return with_event_ids(self.alerts, self.members())
+        """Alerts with the list of their events; an alert over very many has several rows, each with a part of them."""
+        return with_event_ids(self.alerts, self.members(), self.work)
 
     def metadata(self) -> DataFrame:
         return run_metadata(self.parsed.sparkSession, self.started_at, self.completed_at)
@@ -82,11 +82,11 @@ def analyze(
     settings = settings or DetectionSettings()
     work = WorkArea(spark)
     parsed = union_sources(
-        parse_cisco(read_log_lines(spark, cisco), year),
-        parse_linux(read_log_lines(spark, linux), year),
-        parse_cloudtrail(read_log_lines(spark, cloudtrail)),
+        parse_cisco(read_log_lines(spark, cisco, work), year),
+        parse_linux(read_log_lines(spark, linux, work), year),
+        parse_cloudtrail(read_log_lines(spark, cloudtrail, work)),
     )
-    parsed = work.write(parsed, "parsed", "source")
+    parsed = write_outcomes(parsed, work)
     given = {CISCO: cisco, LINUX: linux, CLOUDTRAIL: cloudtrail}
     files = union_sources(*[listed_files(spark, source, paths) for source, paths in given.items()])
     alerts = work.write(detect(accepted(parsed), settings, work), "alerts")

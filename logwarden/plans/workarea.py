@@ -28,12 +28,11 @@ class WorkArea:
         writer.parquet(path)
         return self.spark.read.schema(table.schema).parquet(path)
 
+    def fresh(self, name: str) -> str:
+        """A name that no table of the area has yet."""
+        return f"{name}-{uuid.uuid4().hex[:12]}"
+
     def clear(self) -> None:
         """Remove the area; tables that read it can't be computed any more."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def keep(table: DataFrame, work: WorkArea | None, name: str) -> DataFrame:
-    """The table as written to the work area, or as it is when there is none."""
-    return table if work is None else work.write(table, name)

@@ -6,20 +6,23 @@ The SQL never parses a line: it works out from the columns what the parsers must
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logwarden.functions.scoring import severity_from_score
 from logwarden.operators import reporting, synthetic
-from logwarden.operators.alerts import detect, rank_alerts
+from logwarden.operators.alerts import detect
+from logwarden.operators.alerts import ranked_alerts as number_alerts
 from logwarden.operators.cisco import parse_cisco
 from logwarden.operators.cloudtrail import parse_cloudtrail
 from logwarden.operators.ecs import to_alert_documents, to_ecs
 from logwarden.operators.linux import parse_linux
-from logwarden.operators.members import alert_members, with_event_ids
-from logwarden.operators.routing import accepted, rejected, union_sources
+from logwarden.operators.members import alert_members, event_places, with_event_ids
+from logwarden.operators.routing import accepted, rejected, union_sources, write_outcomes
+from logwarden.plans.pipeline import AnalysisResult
 from logwarden.plans.workarea import WorkArea
 from logwarden.session import prepare_session
 from logwarden.settings import (
@@ -29,7 +32,8 @@ from logwarden.settings import (
     SuccessAfterFailures,
     UserEnumeration,
 )
-from logwarden.sources.sinks import index_counts, index_documents
+from logwarden.sources.lines import read_log_lines, splits_of
+from logwarden.sources.sinks import index_counts, index_documents, read_csv, write_csv, write_json_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +46,8 @@ SETTINGS = DetectionSettings(
     batch_unit="hour",
 )
 RUN_DAY = date(2024, 2, 1)
+#: Files that log lines are written to and read from again.
+FILES = 16
 
 
 def _table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,19 +77,20 @@ def _all(spark: SparkSession, sf_dir: str, garbage: bool = False) -> DataFrame:
 def _written(spark: SparkSession, parsed: DataFrame) -> tuple[WorkArea, DataFrame]:
     """Parsed lines, written once: rules join and group plain columns."""
     work = WorkArea(spark)
-    return work, work.write(parsed, "parsed", "source")
+    return work, write_outcomes(parsed, work)
 
 
-def _alerts(spark: SparkSession, parsed: DataFrame) -> DataFrame:
+def _alerts(spark: SparkSession, parsed: DataFrame, *rules: str) -> DataFrame:
+    """Alerts of some rules, or of all."""
     work, parsed = _written(spark, parsed)
-    return work.write(detect(accepted(parsed), SETTINGS, work), "alerts")
+    return work.write(detect(accepted(parsed), SETTINGS, work, set(rules) or None), "alerts")
 
 
 def _moment(column: str = "timestamp") -> Column:
     return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
 
 
-def _shown(alerts: DataFrame) -> DataFrame:
+def _shown(alerts: DataFrame, *more: str) -> DataFrame:
     return alerts.select(
         "rule_id",
         F.col("risk_score").cast("bigint").alias("risk_score"),
@@ -95,6 +102,7 @@ def _shown(alerts: DataFrame) -> DataFrame:
         "resource",
         F.array_join("evidence", " | ").alias("evidence"),
         F.col("event_count").cast("bigint").alias("event_count"),
+        *more,
     )
 
 
@@ -109,32 +117,32 @@ e AS (
          list_extract(['signin', 'cloudtrail', 'iam', 'ec2', 's3'], (event_id % 5 + 1)::INT) || '.amazonaws.com' AS service,
          'arn:aws:iam::aws:policy/' || CASE WHEN event_id % 2 = 0 THEN 'AdministratorAccess' ELSE 'ReadOnlyAccess' END AS policy
   FROM events
-), failed AS (SELECT * FROM e WHERE event_type IN ('error', 'signup'))
+), failed AS (SELECT *, min(event_id) OVER (PARTITION BY date_trunc('hour', t), ip) AS first_id FROM e WHERE event_type IN ('error', 'signup'))
 """
 
 _AUTH = {
     "brute": """
   SELECT 'LINUX-AUTH-001' AS rule_id, 78 AS risk_score, 'high' AS severity, max(t) AS moment, 'linux_auth' AS source, ip AS source_ip,
          NULL::VARCHAR AS user_name, NULL::VARCHAR AS resource,
-         count(*) || ' failed SSH logins | Targeted users: ' || string_agg(DISTINCT u, ', ' ORDER BY u) AS evidence, count(*) AS event_count
+         count(*) || ' failed SSH logins | Targeted users: ' || string_agg(DISTINCT u, ', ' ORDER BY u) AS evidence, count(*) AS event_count, min(first_id) AS seen
   FROM failed GROUP BY date_trunc('hour', t), ip HAVING count(*) >= 4 AND max(t) - min(t) <= INTERVAL 1800 SECOND""",
     "enum": """
   SELECT 'LINUX-AUTH-002' AS rule_id, 58 AS risk_score, 'medium' AS severity, max(t) AS moment, 'linux_auth' AS source, ip AS source_ip,
          NULL::VARCHAR AS user_name, NULL::VARCHAR AS resource,
-         'Invalid users tested: ' || string_agg(DISTINCT u, ', ' ORDER BY u) AS evidence, count(*) AS event_count
-  FROM e WHERE event_type = 'signup' GROUP BY date_trunc('hour', t), ip
+         'Invalid users tested: ' || string_agg(DISTINCT u, ', ' ORDER BY u) AS evidence, count(*) AS event_count, min(first_id) AS seen
+  FROM failed WHERE event_type = 'signup' GROUP BY date_trunc('hour', t), ip
   HAVING count(DISTINCT u) >= 2 AND max(t) - min(t) <= INTERVAL 1800 SECOND""",
     "success": """
   SELECT 'LINUX-AUTH-003' AS rule_id, 96 AS risk_score, 'critical' AS severity, any_value(s.t) AS moment, 'linux_auth' AS source, any_value(s.ip) AS source_ip,
          any_value(s.u) AS user_name, NULL::VARCHAR AS resource,
-         count(*) || ' failures before success | Successful account: ' || any_value(s.u) AS evidence, count(*) + 1 AS event_count
+         count(*) || ' failures before success | Successful account: ' || any_value(s.u) AS evidence, count(*) + 1 AS event_count, any_value(s.event_id) AS seen
   FROM e s JOIN failed f ON f.ip = s.ip AND f.t BETWEEN s.t - INTERVAL 3600 SECOND AND s.t
   WHERE s.event_type = 'click' GROUP BY s.event_id HAVING count(*) >= 3""",
     "flap": """
   SELECT 'CISCO-NET-001' AS rule_id, 48 AS risk_score, 'medium' AS severity, max(t) AS moment, 'cisco_ios' AS source, NULL::VARCHAR AS source_ip,
          NULL::VARCHAR AS user_name, any_value('GigabitEthernet0/' || (user_id % 8)) AS resource,
          'Device: DIST-' || any_value(user_id % 4) || ' | Interface: GigabitEthernet0/' || any_value(user_id % 8) || ' | State changes: ' || count(*) AS evidence,
-         count(*) AS event_count
+         count(*) AS event_count, min(event_id) AS seen
   FROM e WHERE event_type = 'view' GROUP BY date_trunc('hour', t), user_id % 4, user_id % 8
   HAVING count(DISTINCT event_id % 2) = 2 AND max(t) - min(t) <= INTERVAL 1800 SECOND""",
 }
@@ -143,7 +151,7 @@ _AUTH = {
 def _direct(rule: str, score: int, severity: str, source: str, ip: str, user: str, resource: str, evidence: str, where: str) -> str:
     return f"""
   SELECT '{rule}' AS rule_id, {score} AS risk_score, '{severity}' AS severity, t AS moment, '{source}' AS source, {ip} AS source_ip,
-         {user} AS user_name, {resource} AS resource, {evidence} AS evidence, 1 AS event_count
+         {user} AS user_name, {resource} AS resource, {evidence} AS evidence, 1 AS event_count, event_id AS seen
   FROM e WHERE {where}"""
 
 
@@ -166,6 +174,10 @@ _ALERTS = f"WITH {_BASE}, alerts AS (" + " UNION ALL ".join([*_AUTH.values(), *_
 _COLUMNS = "rule_id, risk_score::BIGINT AS risk_score, severity, strftime(moment, '%Y-%m-%d %H:%M:%S') AS detected_at, source, source_ip, user_name, resource, evidence, event_count::BIGINT AS event_count"
 
 
+#: Alerts of the Linux log alone, when one line in ten is none.
+_LINUX_ALERTS = f"WITH {_BASE.replace('FROM events', 'FROM events WHERE event_id % 10 <> 0')}, alerts AS (" + " UNION ALL ".join([_AUTH["brute"], _AUTH["enum"], _AUTH["success"], _RULES["rule_sudo"]]) + ")"
+
+
 def _of(part: str) -> str:
     return f"WITH {_BASE}, alerts AS ({part}) SELECT {_COLUMNS} FROM alerts"
 
@@ -219,7 +231,7 @@ def _rejects(parsed: DataFrame) -> DataFrame:
 @_register("""SELECT 'linux_auth' AS source, 'events/auth.log' AS path, event_id + 1 AS line_number, 'Unsupported Linux auth format at line ' || (event_id + 1) AS reason,
   'not a record ' || event_id AS raw_event FROM events WHERE event_type <> 'view' AND event_id % 10 = 0""")
 def linux_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rejects(_linux(spark, sf_dir, garbage=True))
+    return _rejects(_written(spark, _linux(spark, sf_dir, garbage=True))[1])
 
 
 @_register("""SELECT 'cisco_ios' AS source, 'events/core.log' AS path, event_id + 1 AS line_number, 'Unsupported Cisco IOS syslog format at line ' || (event_id + 1) AS reason,
@@ -274,12 +286,42 @@ def source_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accepted(_all(spark, sf_dir, garbage=True)).select("source_rank", "source", "path", "line_number", _moment().alias("at"))
 
 
+@_register(f"""WITH {_BASE}, physical AS (
+    SELECT *, sum(CASE WHEN event_id % 7 = 0 THEN 2 ELSE 1 END) OVER (PARTITION BY event_id % {FILES} ORDER BY event_id) AS number FROM e WHERE event_type IN ('error', 'signup'))
+  SELECT 'file=' || (event_id % {FILES}) AS folder, number::BIGINT AS line_number, strftime(t, '%Y-%m-%d %H:%M:%S') AS at, event_id::VARCHAR AS pid FROM physical""")
+def log_line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failed logins written as text to several files, with blank lines and both kinds of line ends, and read in splits."""
+    work = WorkArea(spark)
+    table = _table(spark, sf_dir).where("event_type in ('error', 'signup')")
+    path = synthetic.write_text(synthetic.linux_lines(table), FILES, f"{work.path}/text")
+    with splits_of(spark, 1 << 16):
+        lines = read_log_lines(spark, path, work)
+    rows = accepted(parse_linux(lines, synthetic.YEAR))
+    folder = F.regexp_extract("path", "file=[0-9]+", 0)
+    return rows.select(folder.alias("folder"), "line_number", _moment().alias("at"), F.try_variant_get("attributes", "$.pid", "string").alias("pid"))
+
+
+@_register(f"""WITH {_BASE}, bad AS (SELECT *, event_id % 3 = 0 AS broken, '203.0.999.' || (user_id % 250) AS text FROM e)
+  SELECT 'cisco_ios' AS source, line_number, CASE WHEN broken AND event_id % 5 = 0 THEN chr(39) || text || chr(39) || ' does not appear to be an IPv4 or IPv6 address' END AS reason,
+    CASE WHEN NOT broken AND event_id % 5 < 3 THEN far_ip END AS source_ip, NULL::VARCHAR AS identity FROM bad
+  UNION ALL SELECT 'aws_cloudtrail', line_number, NULL, CASE WHEN NOT broken THEN far_ip END, CASE WHEN broken THEN text ELSE far_ip END FROM bad""")
+def invalid_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses that are none: a configuration change is rejected, others lose the address; CloudTrail keeps its text."""
+    table = _table(spark, sf_dir)
+    broken = lambda lines: lines.withColumn("value", F.when((F.col("line_number") - 1) % 3 == 0, F.replace("value", F.lit("203.0.113."), F.lit("203.0.999."))).otherwise(F.col("value")))
+    work, parsed = _written(spark, parse_cisco(broken(synthetic.device_lines(table)), synthetic.YEAR).unionByName(parse_cloudtrail(broken(synthetic.cloudtrail_lines(table)))))
+    identity = F.try_variant_get("attributes", "$.source_identity", "string").alias("identity")
+    none = F.lit(None).cast("string")
+    found = accepted(parsed).select("source", "line_number", none.alias("reason"), "source_ip", identity)
+    return found.unionByName(rejected(parsed).select("source", "line_number", "reason", none.alias("source_ip"), none.alias("identity")))
+
+
 # --- rules and correlations ---------------------------------------------------------------------
 
 
 def _rule_query(name: str, parsed: Query, rule_id: str, sql: str) -> None:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _shown(_alerts(spark, parsed(spark, sf_dir)).where(F.col("rule_id") == rule_id))
+        return _shown(_alerts(spark, parsed(spark, sf_dir), rule_id))
 
     QUERIES[name], ORACLE_SQL[name] = query, _of(sql)
 
@@ -317,14 +359,42 @@ def severity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
   FROM raw GROUP BY date_trunc('hour', t), ip HAVING count(*) >= 4 AND max(t) - min(t) <= INTERVAL 1800 SECOND""")
 def corr_event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     work, parsed = _written(spark, _linux(spark, sf_dir))
-    alerts = work.write(detect(accepted(parsed), SETTINGS, work).where("rule_id = 'LINUX-AUTH-001'"), "alerts")
-    listed = with_event_ids(alerts, alert_members(accepted(parsed), alerts, SETTINGS))
+    alerts = work.write(detect(accepted(parsed), SETTINGS, work, {"LINUX-AUTH-001"}), "alerts")
+    listed = with_event_ids(alerts, alert_members(accepted(parsed), alerts, SETTINGS), work)
     return listed.select("source_ip", _moment("detected_at").alias("detected_at"), F.array_join("event_ids", ",").alias("event_ids"))
 
 
-@_register(f"{_ALERTS} SELECT {_COLUMNS} FROM alerts")
+@_register(f"""{_ALERTS} SELECT {_COLUMNS}, row_number() OVER (ORDER BY risk_score DESC, moment DESC, seen) AS rank FROM alerts""")
 def ranked_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(rank_alerts(_alerts(spark, _all(spark, sf_dir))))
+    work, parsed = _written(spark, _all(spark, sf_dir))
+    alerts = work.write(detect(accepted(parsed), SETTINGS, work), "alerts")
+    return _shown(number_alerts(alerts, work), "rank")
+
+
+_HASH = """sha256('linux_auth' || chr(10) || 'events/auth.log' || chr(10) || line_number || chr(10) || strftime(t, '%b %-d %H:%M:%S') || ' srv-' || (user_id % 3) || ' sshd[' || event_id
+      || ']: ' || CASE event_type WHEN 'click' THEN 'Accepted password for ' WHEN 'signup' THEN 'Failed password for invalid user ' ELSE 'Failed password for ' END || u || ' from ' || ip || ' port ' || (user_id + 40000) || ' ssh2')"""
+
+
+@_register(f"""WITH {_BASE}, raw AS (SELECT *, {_HASH} AS h FROM e WHERE event_type IN ('error', 'signup', 'click')),
+  listed AS (
+    SELECT 'LINUX-AUTH-001' AS rule_id, min(event_id) OVER g AS seen, t, line_number, h, count(*) OVER g AS n, max(t) OVER g - min(t) OVER g AS span, 0 AS phase
+    FROM raw WHERE event_type <> 'click' WINDOW g AS (PARTITION BY date_trunc('hour', t), ip)
+    UNION ALL
+    SELECT 'LINUX-AUTH-003', s.event_id, NULL, f.line_number, f.h, count(*) OVER (PARTITION BY s.event_id) + 1, INTERVAL 0 SECOND, 0
+    FROM raw s JOIN raw f ON f.event_type <> 'click' AND f.ip = s.ip AND f.t BETWEEN s.t - INTERVAL 3600 SECOND AND s.t WHERE s.event_type = 'click'
+    UNION ALL
+    SELECT 'LINUX-AUTH-003', event_id, NULL, line_number, h, (SELECT count(*) FROM failed f WHERE f.ip = s.ip AND f.t BETWEEN s.t - INTERVAL 3600 SECOND AND s.t) + 1, INTERVAL 0 SECOND, 1
+    FROM raw s WHERE event_type = 'click'
+  )
+  SELECT rule_id, seen + 1 AS seen, row_number() OVER (PARTITION BY rule_id, seen ORDER BY phase, t, line_number) AS place,
+    h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' || h[21:32] AS event_id FROM listed WHERE n >= 4 AND span <= INTERVAL 1800 SECOND""")
+def alert_event_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of each brute force and of each success after failures, numbered within their alert."""
+    work, parsed = _written(spark, _linux(spark, sf_dir))
+    alerts = work.write(detect(accepted(parsed), SETTINGS, work, {"LINUX-AUTH-001", "LINUX-AUTH-003"}), "alerts")
+    places = event_places(alert_members(accepted(parsed), alerts, SETTINGS), work)
+    known = alerts.select("alert_id", F.col("seen.line_number").alias("seen"))
+    return places.join(known, "alert_id").select("rule_id", "seen", "place", "event_id")
 
 
 # --- reports and documents ----------------------------------------------------------------------
@@ -364,6 +434,56 @@ def csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("detected_at", "rule_id", "severity", F.col("risk_score").cast("bigint").alias("risk_score"), "source", "source_ip", "user_name", "resource", "evidence")
 
 
+@_register(f"""{_ALERTS}, lines AS (
+    SELECT 'cisco_ios' AS source, 'events/switch.log' AS path, count_if(event_type = 'view') AS events, 0 AS rejects FROM events
+    UNION ALL SELECT 'cisco_ios', 'events/core.log', count(*), 0 FROM events
+    UNION ALL SELECT 'linux_auth', 'events/auth.log', count_if(event_type <> 'view'), 0 FROM events
+    UNION ALL SELECT 'aws_cloudtrail', 'events/trail.jsonl', count(*), 0 FROM events)
+  SELECT section, source, path, severity, events::BIGINT AS events, rejects::BIGINT AS rejects, alerts::BIGINT AS alerts FROM (
+    SELECT 'file' AS section, source, path, NULL::VARCHAR AS severity, events, rejects, 0 AS alerts FROM lines
+    UNION ALL SELECT 'source', source, NULL, NULL, sum(events), sum(rejects), (SELECT count(*) FROM alerts a WHERE a.source = l.source) FROM lines l GROUP BY source
+    UNION ALL SELECT 'severity', NULL, NULL, s.severity, 0, 0, (SELECT count(*) FROM alerts a WHERE a.severity = s.severity)
+      FROM (VALUES ('critical'), ('high'), ('medium'), ('low'), ('informational')) s(severity)
+    UNION ALL SELECT 'run', NULL, NULL, NULL, sum(events), sum(rejects), (SELECT count(*) FROM alerts) FROM lines)""")
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work, parsed = _written(spark, _all(spark, sf_dir))
+    return reporting.run_report(parsed, work.write(detect(accepted(parsed), SETTINGS, work), "alerts"))
+
+
+@_register(f"""{_ALERTS} SELECT strftime(moment, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS detected_at, rule_id, severity, risk_score::VARCHAR AS risk_score, source, source_ip,
+  user_name, resource, evidence FROM alerts""")
+def csv_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alert list as it stands in the written CSV files; an empty cell is read as null."""
+    alerts = _alerts(spark, _all(spark, sf_dir))
+    path = WorkArea(spark, "csv").path
+    write_csv(alerts, path)
+    return read_csv(spark, path).select("detected_at", "rule_id", "severity", "risk_score", "source", "source_ip", "user_name", "resource", "evidence")
+
+
+@_register(f"""{_LINUX_ALERTS} SELECT 'alerts' AS section, rule_id || ' ' || strftime(moment, '%Y-%m-%dT%H:%M:%SZ') || ' ' || coalesce(user_name, 'null') || ' ' || event_count AS shown FROM alerts
+  UNION ALL SELECT 'events', 'linux_auth ' || strftime(t, '%Y-%m-%dT%H:%M:%SZ') || ' ' || u || ' ' || CASE WHEN event_type IN ('error', 'signup') THEN 'failure' ELSE 'success' END FROM e WHERE event_type <> 'view'
+  UNION ALL SELECT 'rejected_events', (event_id + 1) || ' Unsupported Linux auth format at line ' || (event_id + 1) || ' not a record ' || event_id FROM events WHERE event_type <> 'view' AND event_id % 10 = 0
+  UNION ALL SELECT 'summary', count_if(event_id % 10 <> 0) || ' ' || count_if(event_id % 10 = 0) || ' ' || (SELECT count(*) FROM alerts) FROM events WHERE event_type <> 'view'
+  UNION ALL SELECT 'sources', 'events/auth.log ' || count_if(event_id % 10 <> 0) || ' ' || count_if(event_id % 10 = 0) FROM events WHERE event_type <> 'view'""")
+def json_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sections of the written JSON report of one log, read again."""
+    work, parsed = _written(spark, _linux(spark, sf_dir, garbage=True))
+    alerts = work.write(detect(accepted(parsed), SETTINGS, work), "alerts")
+    files = parsed.select("source", "path").distinct()
+    path = f"{work.path}/report"
+    now = datetime.combine(RUN_DAY, datetime.min.time())
+    write_json_report(AnalysisResult(now, now, SETTINGS, parsed, alerts, work, files), path)
+    shown = {
+        "alerts": ("rule_id string, detected_at string, user_name string, event_ids array<string>", lambda: F.concat_ws(" ", "rule_id", "detected_at", F.coalesce("user_name", F.lit("null")), F.size("event_ids"))),
+        "events": ("source string, timestamp string, user_name string, outcome string", lambda: F.concat_ws(" ", "source", "timestamp", "user_name", "outcome")),
+        "rejected_events": ("line_number bigint, reason string, raw_event string", lambda: F.concat_ws(" ", "line_number", "reason", "raw_event")),
+        "summary": ("events_analyzed bigint, events_rejected bigint, alerts_generated bigint", lambda: F.concat_ws(" ", "events_analyzed", "events_rejected", "alerts_generated")),
+        "sources": ("path string, parsed_events bigint, rejected_events bigint", lambda: F.concat_ws(" ", "path", "parsed_events", "rejected_events")),
+    }
+    parts = [spark.read.schema(schema).json(f"{path}/{name}").select(F.lit(name).alias("section"), text().alias("shown")) for name, (schema, text) in shown.items()]
+    return reduce(DataFrame.unionByName, parts).where("section <> 'sources' or shown like 'events/%'")
+
+
 @_register(f"""{_ALERTS} SELECT rule_id, CASE source WHEN 'cisco_ios' THEN 'Cisco IOS Syslog' WHEN 'linux_auth' THEN 'Linux Authentication' ELSE 'AWS CloudTrail' END AS source,
   strftime(moment, '%Y-%m-%d %H:%M:%S') || ' UTC' AS detected, coalesce(source_ip, 'Not available') AS source_ip, coalesce(user_name, 'Not available') AS user_name,
   coalesce(resource, 'Not available') AS resource FROM alerts""")
@@ -388,7 +508,7 @@ def ecs_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     work, parsed = _written(spark, _all(spark, sf_dir))
     alerts = work.write(detect(accepted(parsed), SETTINGS, work), "alerts")
-    return accepted(parsed), with_event_ids(alerts, alert_members(accepted(parsed), alerts, SETTINGS))
+    return accepted(parsed), with_event_ids(alerts, alert_members(accepted(parsed), alerts, SETTINGS), work)
 
 
 @_register(f"{_ALERTS} SELECT rule_id, strftime(moment, '%Y-%m-%dT%H:%M:%SZ') AS at, 'security_alert' AS document_kind, event_count::BIGINT AS listed_events FROM alerts")

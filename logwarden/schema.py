@@ -43,7 +43,7 @@ RULE_FIELDS = ["invalid_user", "command", "identity_type", "request_parameters"]
 
 EVENT_COLUMNS = EVENT_FIELDS + RULE_FIELDS + POSITION
 
-PARSED_COLUMNS = EVENT_COLUMNS + ["blank", "reject_reason"]
+PARSED_COLUMNS = EVENT_COLUMNS + ["blank", "reject_reason", "fate"]
 
 ALERT_FIELDS = [
     "alert_id",

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwarden.operators.alerts import events_in_input_order, rank_alerts
-from logwarden.operators.ecs import alert_record, event_record, to_alert_documents, to_ecs, to_json_with_nulls
+from logwarden.operators.alerts import alert_order, events_in_input_order, rank_alerts
+from logwarden.operators.ecs import alert_text, event_record, to_alert_documents, to_ecs, to_json_with_nulls
 from logwarden.operators.reporting import csv_rows
 
 
@@ -45,22 +45,41 @@ def write_bulk(documents: DataFrame, path: str) -> None:
     ).text(path)
 
 
+def _csv_line(cells: list[Column]) -> Column:
+    """Cells with commas between them; one with a comma, a quote or a line break stands in quotes, its quotes doubled."""
+    quoted = lambda cell: F.concat(F.lit('"'), F.replace(cell, F.lit('"'), F.lit('""')), F.lit('"'))
+    shown = [F.coalesce(cell.cast("string"), F.lit("")) for cell in cells]
+    return F.concat_ws(",", *[F.when(cell.rlike('[",\\r\\n]'), quoted(cell)).otherwise(cell) for cell in shown])
+
+
 def write_csv(alerts: DataFrame, path: str) -> None:
-    """The flat alert list in rank order, quoted only where needed, quotes doubled."""
-    csv_rows(rank_alerts(alerts)).write.options(header=True, lineSep="\r\n", escape='"', emptyValue="").csv(path)
+    """The flat alert list in rank order, quoted only where needed; each part file begins with the header.
+
+    The lines are put together here, as Spark's CSV writer turns the line breaks inside cells into the one between rows.
+    """
+    rows = csv_rows(rank_alerts(alerts))
+    line = _csv_line([F.col(name) for name in rows.columns])
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0  # the row's number in its part
+    header = F.lit(",".join(rows.columns) + "\r\n")
+    rows.select(F.when(first, F.concat(header, line)).otherwise(line).alias("value")).write.option("lineSep", "\r\n").text(path)
+
+
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_csv`` wrote, as text; cells may hold quotes and line breaks."""
+    return spark.read.options(header=True, multiLine=True, escape='"', lineSep="\r\n").csv(path)
 
 
 def write_json_report(result, path: str) -> None:
     """One dataset per section of the report."""
 
     def records(table: DataFrame, record: Column, name: str) -> None:
-        table.select(to_json_with_nulls(record).alias("value")).write.text(f"{path}/{name}")
+        table.select(record.alias("value")).write.text(f"{path}/{name}")
 
     def whole(table: DataFrame, name: str) -> None:
         table.write.option("ignoreNullFields", "false").json(f"{path}/{name}")
 
-    records(rank_alerts(result.documents), alert_record(), "alerts")
-    records(events_in_input_order(result.events), event_record(), "events")
+    records(result.documents.orderBy(*alert_order(), "part"), alert_text(), "alerts")
+    records(events_in_input_order(result.events), to_json_with_nulls(event_record()), "events")
     rejects = result.rejects.orderBy("source_rank", "path", "line_number")
     whole(rejects.select("source", "path", "line_number", "reason", "raw_event"), "rejected_events")
     whole(result.sources.orderBy("source_rank", "path").drop("source_rank", "source"), "sources")

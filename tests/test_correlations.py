@@ -20,7 +20,7 @@ def alerts_of(spark, lines_of):
         work = WorkArea(spark)
         events = accepted(work.write(parse_linux(lines_of(lines)), "parsed"))
         alerts = work.write(detect(events, DetectionSettings(), work), "alerts")
-        return with_event_ids(alerts, alert_members(events, alerts, DetectionSettings())).collect(), events
+        return with_event_ids(alerts, alert_members(events, alerts, DetectionSettings()), work).collect(), events
 
     return build
 

@@ -18,7 +18,7 @@ def plain(value):
     return round(value, 9) if isinstance(value, float) else value
 
 
-@pytest.mark.parametrize("name", ["linux_failed_logins", "linux_rejects", "cisco_events", "ct_events", "corr_user_enum", "ranked_alerts", "source_summary", "alert_docs", "index_counts"])
+@pytest.mark.parametrize("name", ["linux_failed_logins", "linux_rejects", "cisco_events", "ct_events", "corr_user_enum", "ranked_alerts", "source_summary", "alert_docs", "index_counts", "log_line_numbers", "run_report", "csv_file_rows", "json_report_rows", "invalid_addresses", "rule_public_port"])
 def test_query_equals_its_sql(spark, name):
     rows = QUERIES[name](spark, SF_DIR).collect()
     db = duckdb.connect()
