@@ -14,14 +14,16 @@ like others. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import array
 import bisect
 import functools
 import itertools
 import json
 import os
 import re
+import sys
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,8 +36,8 @@ from llm.wordhash import blocks
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long"
 _PLACES = "length long, first_rank long, n long, first_sequence long, per_sequence long, first_offset long"
-#: Distinct words whose ids a task remembers; more are encoded anew.
-_WORDS = 800_000
+#: Distinct words whose ids are remembered from block to block, some 50 MB; beyond that the last block's words stay.
+_WORDS = 250_000
 #: The split pattern of word-end vocabularies, and the same for plain texts: ASCII, Latin letters that neither normal
 #: forms nor lower case join or split.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -47,35 +49,32 @@ class WordEncoder:
     """Ids of texts by a tokenizer that lower-cases and drops white space, as little-endian 32-bit values.
 
     Such a tokenizer merges within words (runs of letters, single digits, runs of signs) only. Texts of plain Latin
-    characters are split into these words here, the ids of frequent words are remembered, and new words are encoded many
-    in one call: each ends with the one token that carries the word-end mark. Other texts are encoded whole.
+    characters are split into these words here, the ids of frequent words are remembered, and new words go to the
+    tokenizer's merges alone. Other texts are encoded whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         setting = json.loads(self.tokenizer.to_str())
         self.mark = mark = setting["model"]["end_of_word_suffix"] or ""
-        vocabulary = self.tokenizer.get_vocab()
-        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.last[[i for token, i in vocabulary.items() if mark and token.endswith(mark)]] = True
         self.special = [x["content"] for x in setting["added_tokens"]]
-        pattern = "".join(x["pattern"]["Regex"] for x in setting["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
-        #: Whether words may be encoded apart: only for the pattern that _WORD restates, with word ends marked.
-        self.by_word = bool(mark) and pattern == _PATTERN
+        steps = setting["pre_tokenizer"].get("pretokenizers", [])
+        pattern = "".join(x["pattern"]["Regex"] for x in steps if x["type"] == "Split")
+        #: Whether words may be encoded apart: only for the pattern that _WORD restates, with word ends marked, and bytes
+        #: as letters in between.
+        self.by_word = bool(mark) and pattern == _PATTERN and [x["type"] for x in steps] == ["Split", "ByteLevel"] and setting["model"]["type"] == "BPE"
+        letters = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {i: letters.pre_tokenize_str(chr(i))[0][0] for i in [*range(0x80, 0x100), 0x153]}
         self.known: dict[str, bytes] = {}
 
-    def learn(self, words: list[str]) -> None:
-        for start in range(0, len(words), 500):
-            part = words[start : start + 500]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
-            ends = 4 * (np.flatnonzero(self.last[ids]) + 1)
-            if len(ends) == len(part) and ends[-1] == 4 * len(ids):
-                data, ends = ids.tobytes(), [0, *ends.tolist()]
-                self.known |= zip(part, [data[a:b] for a, b in itertools.pairwise(ends)])
-            else:
-                self.known |= zip(part, map(self.whole, part))
+    def learn(self, words: Iterable[str]) -> None:
+        merge, letters = self.tokenizer.model.tokenize, self.letters
+        for word in words:
+            tokens = merge(word if word.isascii() else word.translate(letters))
+            self.known[word] = array.array("I", [t.id for t in tokens]).tobytes() if sys.byteorder == "little" else self.whole(word)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -85,12 +84,13 @@ class WordEncoder:
         for t in texts:
             plain = self.by_word and _PLAIN.fullmatch(t or "") and not any(x in t for x in self.special if t)
             words.append(_WORD.findall(t.lower() if t else "") if plain else None)
+        used = set(itertools.chain.from_iterable(filter(None, words)))
         if len(self.known) > _WORDS:
-            self.known.clear()
+            self.known = {w: self.known[w] for w in used if w in self.known}
+        if new := used.difference(self.known):
+            self.learn(new)
         known = self.known
-        if new := {w for ws in words if ws for w in ws if w not in known}:
-            self.learn(list(new))
-        return [self.whole(t) if ws is None else b"".join([known[w] for w in ws]) for t, ws in zip(texts, words)]
+        return [self.whole(t) if ws is None else b"".join(map(known.__getitem__, ws)) for t, ws in zip(texts, words)]
 
 
 @functools.cache
