@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from llm.columns import set_aside
 from llm.tables import stage
 
 _BLANKS = " \t\n\x0b\x0c\r"
@@ -81,7 +82,9 @@ def _runs(removed: Column) -> Column:
 
 
 def dedup_lines(docs: DataFrame, run: int = 3, words: int | None = None) -> DataFrame:
-    """`docs` with the later repeats deleted from `text`; adds n_lines, n_removed and removed_runs."""
+    """`docs` with the later repeats deleted from `text`; adds n_lines, n_removed and removed_runs, before which columns of
+    these names give way; all others, whatever their names, stay."""
+    docs, back = set_aside(docs, ["doc_id", "text"], ["n_lines", "n_removed", "removed_runs"])
     rows = docs.withColumn("_hash", F.xxhash64("text"))
     cut = repeated_lines(docs, run, words).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_of"), "removed")
     joined = rows.join(cut, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_of")), "left")
@@ -90,13 +93,14 @@ def dedup_lines(docs: DataFrame, run: int = 3, words: int | None = None) -> Data
     kept = F.transform(F.array(lines), lambda x: F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), removed), lambda i: F.get(x, i)))
     text = F.when(F.size(removed) == 0, F.col("text")).otherwise(F.array_join(F.get(kept, F.lit(0)), "\n"))
     columns = [c for c in docs.columns if c != "text"]
-    return joined.select(
-        *columns,
+    found = joined.select(
+        *[F.col(f"`{c}`") for c in columns],
         text.alias("text"),
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
         F.size(removed).cast("long").alias("n_removed"),
         _runs(removed).alias("removed_runs"),
     )
+    return back(found)
 
 
 #: The same rows for tables without null or repeated ids, and without `words`.

@@ -288,8 +288,16 @@ def _added(text: Column, base: Column, model: dict[int, Trees]) -> Column:
     return F.transform(F.aggregate(ordered, none, join), lambda s: F.struct(F.lit(len(KINDS) - 1).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
 
+#: Where columns of the input wait whose names the spans have.
+_ASIDE = {"base": "base of docs", "spans": "spans of docs"}
+
+
 def find(docs: DataFrame, model: Trees | dict[int, Trees]) -> DataFrame:
-    """`docs` with `base` and `spans`: the base spans, and these with the added ones; `model` for all generators or for each."""
+    """`docs` with `base` and `spans`: the base spans, and these with the added ones; `model` for all generators or for each.
+
+    Columns of `docs` with these names are called `base of docs` and `spans of docs` until `redact` gives them theirs back.
+    """
+    docs = docs.withColumnsRenamed(_ASIDE)
     model = model if isinstance(model, dict) else dict.fromkeys(range(len(GENERATORS)), model)
     out = docs.withColumn("base", base_spans(F.coalesce("text", F.lit(""))))
     return out.withColumn("spans", _ordered(F.concat("base", _added(F.coalesce("text", F.lit("")), F.col("base"), model))))
@@ -319,4 +327,4 @@ def redact(found: DataFrame) -> DataFrame:
 
     start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("at"))
     whole = _let(F.aggregate("spans", start, step), lambda x: F.concat(F.array_join(x["out"], ""), F.substr(F.col("text"), x["at"] + 1, F.length("text"))))
-    return found.withColumn("text", F.when(F.size("spans") == 0, F.col("text")).otherwise(whole)).drop("base", "spans")
+    return found.withColumn("text", F.when(F.size("spans") == 0, F.col("text")).otherwise(whole)).drop("base", "spans").withColumnsRenamed({aside: name for name, aside in _ASIDE.items()})

@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from llm.batches import map_texts
+from llm.columns import set_aside
 from llm.tables import stage
 
 #: Marks that end a sentence whether or not a blank follows.
@@ -126,7 +127,9 @@ def repeats(docs: DataFrame, kind: str = "sentence", min_words: int = 8, min_cha
 
 
 def dedup_units(docs: DataFrame, kind: str = "sentence", min_words: int = 8, min_chars: int | None = None) -> DataFrame:
-    """`docs` with the repeats removed from `text`; adds n_removed, removed_chars and removed_spans (`start-end`, ...)."""
+    """`docs` with the repeats removed from `text`; adds n_removed, removed_chars and removed_spans (`start-end`, ...), before
+    which columns of these names give way; all others, whatever their names, stay."""
+    docs, back = set_aside(docs, ["doc_id", "text"], ["n_removed", "removed_chars", "removed_spans"])
     rows = docs.withColumn("_hash", F.xxhash64("text"))
     cut = repeats(docs, kind, min_words, min_chars).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_of"), "spans")
     joined = rows.join(cut, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_of")), "left")
@@ -134,10 +137,11 @@ def dedup_units(docs: DataFrame, kind: str = "sentence", min_words: int = 8, min
     ends = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["end"]))
     starts = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.length("text")))
     kept = F.array_join(F.zip_with(ends, starts, lambda a, b: F.substr("text", a + 1, b - a)), "")
-    return joined.select(
-        *[c for c in docs.columns if c != "text"],
+    found = joined.select(
+        *[F.col(f"`{c}`") for c in docs.columns if c != "text"],
         F.when(F.size(spans) == 0, F.col("text")).otherwise(kept).alias("text"),
         F.size(spans).cast("long").alias("n_removed"),
         F.aggregate(spans, F.lit(0), lambda n, s: n + s["end"] - s["start"]).cast("long").alias("removed_chars"),
         F.array_join(F.transform(spans, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("removed_spans"),
     )
+    return back(found)
