@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from llm import jaccard, line_dedup, packing, pii, quality
+from llm.columns import set_aside
 from llm.tables import stage
 
 
@@ -24,30 +25,32 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     `n_chars` follows the text.
     """
-    cut = line_dedup.dedup_lines(docs, run=3, words=50)
+    own, back = set_aside(docs, ["doc_id", "text", "n_chars"], [])
+    cut = line_dedup.dedup_lines(own, run=3, words=50)
     kept = cut.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     length = F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text"))
-    return kept.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    return back(kept.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType)))
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the least id stays, one row of it; texts without words stay."""
     groups = stage(jaccard.jaccard_components(docs, shingle=5, percent=80).select("doc_id", "component_id"), "groups")
-    stay = groups.where("component_id = doc_id").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n"))
-    stay = stage(stay, "kept-ids")
-    # rows without an id link nothing
-    kept = docs.join(stay, docs["doc_id"] == stay["_id"], "left").where("doc_id is null or _id is not null")
-    once = kept.where("_n is null or _n = 1").select(docs.columns)
-    several = docs.join(stay.where("_n > 1"), docs["doc_id"] == stay["_id"]).select(docs.columns)
+    # rows without an id link nothing; only ids that something happens to meet the texts
+    of_id = groups.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.col("component_id") != F.col("doc_id")).alias("gone"), F.count("*").alias("n"))
+    touched = stage(of_id.where("gone or n > 1"), "touched-ids")
+    repeated = touched.where("not gone")
+    once = docs.join(touched, docs["doc_id"] == touched["doc_id"], "left_anti")
+    several = docs.join(repeated, docs["doc_id"] == repeated["doc_id"], "left_semi")
     return once.unionByName(several.dropDuplicates())
 
 
 def redaction_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and secrets in the texts give way to their kinds; `n_chars` follows the text."""
-    found = pii.find(docs, pii.train(docs))
-    changed = found.withColumn("_changed", F.size("spans") > 0)
-    length = F.when(F.col("_changed"), F.length("text")).otherwise(F.col("n_chars"))
-    return pii.redact(changed).withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    own, back = set_aside(docs, ["doc_id", "text", "n_chars"], [])
+    found = pii.find(own, pii.train(own))
+    changed = found.withColumn("changed", F.size("spans") > 0)
+    length = F.when(F.col("changed"), F.length("text")).otherwise(F.col("n_chars"))
+    return back(pii.redact(changed).withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType)))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
