@@ -16,9 +16,15 @@ from logwarden.schema import POSITION
 from logwarden.settings import DetectionSettings
 
 
-def detect(events: DataFrame, settings: DetectionSettings, work: WorkArea, rules: set[str] | None = None) -> DataFrame:
-    """Alerts of every rule, or of those in ``rules``, in no particular order."""
-    findings = correlated_findings(events, settings, work, rules)
+def detect(
+    events: DataFrame,
+    settings: DetectionSettings,
+    work: WorkArea,
+    rules: set[str] | None = None,
+    limits: DataFrame | None = None,
+) -> DataFrame:
+    """Alerts of every rule, or of those in ``rules``, in no particular order; ``limits`` as in ``operators.limits``."""
+    findings = correlated_findings(events, settings, work, rules, limits)
     grouped = {name for names in CORRELATIONS for name in names}
     if rules is None or rules - grouped:
         direct = direct_findings(events, settings).select(*FINDING_COLUMNS)

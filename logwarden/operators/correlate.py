@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logwarden.functions.times import MICROS, floor_bucket
+from logwarden.operators.limits import with_limits
 from logwarden.operators.numbering import RANGE, deal
 from logwarden.plans.workarea import WorkArea
 from logwarden.schema import CISCO, LINUX, position
@@ -41,9 +42,12 @@ FINDING_COLUMNS = [
 ]
 
 
-def span_within(first: Column, last: Column, window_seconds: int) -> Column:
+BRUTE_FORCE, ENUMERATION, SUCCESS, FLAP = "LINUX-AUTH-001", "LINUX-AUTH-002", "LINUX-AUTH-003", "CISCO-NET-001"
+
+
+def span_within(first: Column, last: Column, window_seconds: Column) -> Column:
     """Whether a group's whole span, both ends included, fits into the window."""
-    return F.unix_micros(last) - F.unix_micros(first) <= F.lit(window_seconds * MICROS)
+    return F.unix_micros(last) - F.unix_micros(first) <= window_seconds * MICROS
 
 
 def ssh_failures(events: DataFrame) -> DataFrame:
@@ -124,18 +128,17 @@ def auth_groups(by_user: DataFrame) -> DataFrame:
     )
 
 
-BRUTE_FORCE, ENUMERATION = "LINUX-AUTH-001", "LINUX-AUTH-002"
-
-
-def qualifying_auth_groups(groups: DataFrame, settings: DetectionSettings) -> DataFrame:
+def qualifying_auth_groups(groups: DataFrame, settings: DetectionSettings, limits: DataFrame | None = None) -> DataFrame:
     """One row per address and rule that it fulfils, with the numbers of the events that rule covers."""
     brute, enum = settings.linux_brute_force, settings.linux_user_enumeration
+    groups = with_limits(groups, limits, BRUTE_FORCE, "source_ip", brute.threshold, brute.window_seconds, "brute_")
+    groups = with_limits(groups, limits, ENUMERATION, "source_ip", enum.distinct_user_threshold, enum.window_seconds, "enum_")
 
-    is_brute = (F.col("n") >= brute.threshold) & span_within(
-        F.col("first_at"), F.col("last_at"), brute.window_seconds
+    is_brute = (F.col("n") >= F.col("brute_threshold")) & span_within(
+        F.col("first_at"), F.col("last_at"), F.col("brute_window")
     )
-    is_enum = (F.col("invalid_names") >= enum.distinct_user_threshold) & span_within(
-        F.col("invalid_first_at"), F.col("invalid_last_at"), enum.window_seconds
+    is_enum = (F.col("invalid_names") >= F.col("enum_threshold")) & span_within(
+        F.col("invalid_first_at"), F.col("invalid_last_at"), F.col("enum_window")
     )
     keys = [c for c in ("batch", "source_ip") if c in groups.columns]
     rule = F.explode(F.array(F.lit(BRUTE_FORCE), F.lit(ENUMERATION))).alias("rule_id")
@@ -149,10 +152,10 @@ def qualifying_auth_groups(groups: DataFrame, settings: DetectionSettings) -> Da
     )
 
 
-def auth_findings(events: DataFrame, settings: DetectionSettings, work: WorkArea) -> DataFrame:
+def auth_findings(events: DataFrame, settings: DetectionSettings, work: WorkArea, limits: DataFrame | None = None) -> DataFrame:
     """Brute force and user enumeration."""
     by_user = work.write(auth_users(events, settings), work.fresh("auth_users"))
-    groups = work.write(qualifying_auth_groups(auth_groups(by_user), settings), work.fresh("auth_groups"))
+    groups = work.write(qualifying_auth_groups(auth_groups(by_user), settings, limits), work.fresh("auth_groups"))
     keys = [c for c in ("batch", "source_ip") if c in by_user.columns]
     brute = F.col("rule_id") == BRUTE_FORCE
     named = by_user.where(F.col("user_name") != "").select(*keys, "user_name", "invalid_user")
@@ -210,23 +213,26 @@ def auth_moments(events: DataFrame) -> DataFrame:
 _START, _FAILED, _END = 0, 1, 2
 
 
-def _window_rows(moments: DataFrame, window_seconds: int) -> DataFrame:
-    """source_ip, at, kind, of (the success asked for) and failures."""
-    no, width = F.lit(None).cast("bigint"), F.lit(window_seconds * MICROS)
+def _window_rows(moments: DataFrame) -> DataFrame:
+    """source_ip, at, kind, of (the success asked for), failures, and the threshold of the address."""
+    no, width = F.lit(None).cast("bigint"), F.col("window") * MICROS
     row = lambda at, kind, of, n: F.struct(at.alias("at"), F.lit(kind).alias("kind"), of.alias("of"), n.alias("failures"))
     at, zero = F.col("at"), F.lit(0).cast("bigint")
     asked = F.when(F.col("successes") > 0, F.array(row(at - width, _START, at, zero), row(at, _END, at, zero)))
     found = F.when(F.col("failures") > 0, F.array(row(at, _FAILED, no, F.col("failures"))))
     nothing = F.array().cast("array<struct<at:bigint,kind:int,of:bigint,failures:bigint>>")
     rows = F.concat(F.coalesce(found, nothing), F.coalesce(asked, nothing))
-    return moments.select("source_ip", F.explode(rows).alias("row")).select("source_ip", "row.*")
+    return moments.select("source_ip", "threshold", F.explode(rows).alias("row")).select("source_ip", "row.*", "threshold")
 
 
-def success_hits(moments: DataFrame, settings: DetectionSettings, work: WorkArea) -> DataFrame:
+def success_hits(
+    moments: DataFrame, settings: DetectionSettings, work: WorkArea, limits: DataFrame | None = None
+) -> DataFrame:
     """Address and moment of successes with enough failures before them, how many, and the first of them."""
     rule = settings.successful_login_after_failures
     order = [F.col(name) for name in ("source_ip", "at", "kind", "of")]
-    dealt = deal(_window_rows(moments, rule.window_seconds), order, work, "login-moments")
+    moments = with_limits(moments, limits, SUCCESS, "source_ip", rule.failure_threshold, rule.window_seconds)
+    dealt = deal(_window_rows(moments), order, work, "login-moments")
     ranges = dealt.groupBy("source_ip", RANGE).agg(
         F.sum("failures").alias("n"), F.min(F.when(F.col("kind") == _FAILED, F.col("at"))).alias("first_failure")
     )
@@ -255,15 +261,16 @@ def success_hits(moments: DataFrame, settings: DetectionSettings, work: WorkArea
         .agg(
             (F.max(F.when(F.col("kind") == _END, F.col("total"))) - F.max(F.when(F.col("kind") == _START, F.col("total")))).alias("n"),
             F.max(F.when(F.col("kind") == _START, F.coalesce("next_failure", "failure_after"))).alias("first_failure"),
+            F.min("threshold").alias("threshold"),
         )
     )
-    return answers.where(F.col("n") >= rule.failure_threshold)
+    return answers.where(F.col("n") >= F.col("threshold")).drop("threshold")
 
 
-def success_findings(events: DataFrame, settings: DetectionSettings, work: WorkArea) -> DataFrame:
+def success_findings(events: DataFrame, settings: DetectionSettings, work: WorkArea, limits: DataFrame | None = None) -> DataFrame:
     """One finding per success that follows enough failures from its address."""
     salts = settings.scale.salts
-    hits = work.write(success_hits(auth_moments(events), settings, work), work.fresh("success_hits"))
+    hits = work.write(success_hits(auth_moments(events), settings, work, limits), work.fresh("success_hits"))
     # successes of one moment may be many: each meets a copy of its moment's one row
     hits = hits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     successes = with_salt(ssh_successes(events), salts).select(
@@ -271,7 +278,7 @@ def success_findings(events: DataFrame, settings: DetectionSettings, work: WorkA
     )
     account = F.coalesce(F.col("user_name"), F.lit("None"))
     return successes.join(hits, [*MOMENT, "salt"]).select(
-        F.lit("LINUX-AUTH-003").alias("rule_id"),
+        F.lit(SUCCESS).alias("rule_id"),
         F.col("event_id").alias("alert_key"),
         F.col("timestamp").alias("detected_at"),
         F.lit(LINUX).alias("source"),
@@ -294,33 +301,29 @@ def success_findings(events: DataFrame, settings: DetectionSettings, work: WorkA
 # --- Interface state changes -------------------------------------------------------------------
 
 
-def interface_groups(events: DataFrame, settings: DetectionSettings) -> DataFrame:
+def interface_groups(events: DataFrame, settings: DetectionSettings, limits: DataFrame | None = None) -> DataFrame:
     """Qualifying groups: an interface went down and up, all within the window."""
     scoped, keys = _scoped(interface_changes(events), ["host_name", "resource"], settings)
-    return (
-        scoped.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("timestamp").alias("first_at"),
-            F.max("timestamp").alias("last_at"),
-            F.count_if(F.col("outcome") == "failure").alias("downs"),
-            F.count_if(F.col("outcome") == "success").alias("ups"),
-            F.min(position()).alias("seen"),
-        )
-        .where(
-            (F.col("downs") > 0)
-            & (F.col("ups") > 0)
-            & span_within(F.col("first_at"), F.col("last_at"), settings.cisco_interface_flap.window_seconds)
-        )
-        .drop("downs", "ups")
+    groups = scoped.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("timestamp").alias("first_at"),
+        F.max("timestamp").alias("last_at"),
+        F.count_if(F.col("outcome") == "failure").alias("downs"),
+        F.count_if(F.col("outcome") == "success").alias("ups"),
+        F.min(position()).alias("seen"),
+    )
+    changed = groups.where((F.col("downs") > 0) & (F.col("ups") > 0))
+    limited = with_limits(changed, limits, FLAP, "host_name", None, settings.cisco_interface_flap.window_seconds)
+    return limited.where(span_within(F.col("first_at"), F.col("last_at"), F.col("window"))).drop(
+        "downs", "ups", "threshold", "window"
     )
 
 
-def interface_findings(events: DataFrame, settings: DetectionSettings, work: WorkArea) -> DataFrame:
-    groups = interface_groups(events, settings)
+def interface_findings(events: DataFrame, settings: DetectionSettings, work: WorkArea, limits: DataFrame | None = None) -> DataFrame:
+    groups = interface_groups(events, settings, limits)
     keys = [c for c in ("batch", "host_name", "resource") if c in groups.columns]
     return groups.select(
-        F.lit("CISCO-NET-001").alias("rule_id"),
+        F.lit(FLAP).alias("rule_id"),
         _key_text([*keys, "first_at", "last_at", "n"]).alias("alert_key"),
         F.col("last_at").alias("detected_at"),
         F.lit(CISCO).alias("source"),
@@ -344,20 +347,24 @@ def interface_findings(events: DataFrame, settings: DetectionSettings, work: Wor
 #: What finds each group rule's alerts.
 CORRELATIONS = {
     (BRUTE_FORCE, ENUMERATION): auth_findings,
-    ("LINUX-AUTH-003",): success_findings,
-    ("CISCO-NET-001",): interface_findings,
+    (SUCCESS,): success_findings,
+    (FLAP,): interface_findings,
 }
 
 
 def correlated_findings(
-    events: DataFrame, settings: DetectionSettings, work: WorkArea, rules: set[str] | None = None
+    events: DataFrame,
+    settings: DetectionSettings,
+    work: WorkArea,
+    rules: set[str] | None = None,
+    limits: DataFrame | None = None,
 ) -> list[DataFrame]:
     """Findings of all rules over groups, or of those in ``rules``; what finds none of these isn't run."""
     found = []
     for names, find in CORRELATIONS.items():
         if rules is None:
-            found.append(find(events, settings, work).select(*FINDING_COLUMNS))
+            found.append(find(events, settings, work, limits).select(*FINDING_COLUMNS))
         elif wanted := rules.intersection(names):
-            some = find(events, settings, work).where(F.col("rule_id").isin(*sorted(wanted)))
+            some = find(events, settings, work, limits).where(F.col("rule_id").isin(*sorted(wanted)))
             found.append(some.select(*FINDING_COLUMNS))
     return found

@@ -32,6 +32,7 @@ class AnalysisResult:
     alerts: DataFrame
     work: WorkArea
     files: DataFrame
+    limits: DataFrame | None = None
 
     @property
     def events(self) -> DataFrame:
@@ -51,7 +52,7 @@ class AnalysisResult:
 
     def members(self) -> DataFrame:
         """The events of all alerts, as rows."""
-        return alert_members(self.events, self.alerts, self.settings)
+        return alert_members(self.events, self.alerts, self.settings, self.limits)
 
     @property
     def documents(self) -> DataFrame:
@@ -69,8 +70,9 @@ def analyze(
     cloudtrail: str | list[str],
     settings: DetectionSettings | None = None,
     year: int = 2026,
+    limits: DataFrame | None = None,
 ) -> AnalysisResult:
-    """Parse all sources and run every rule.
+    """Parse all sources and run every rule; ``limits`` gives single addresses or hosts limits of their own.
 
     The parsed lines, the numbers of groups and the alerts are written to a work area in the cluster's
     shared folder (``spark.checkpoint.dir``): the text is read and parsed once, every rule reads only its
@@ -89,5 +91,5 @@ def analyze(
     parsed = write_outcomes(parsed, work)
     given = {CISCO: cisco, LINUX: linux, CLOUDTRAIL: cloudtrail}
     files = union_sources(*[listed_files(spark, source, paths) for source, paths in given.items()])
-    alerts = work.write(detect(accepted(parsed), settings, work), "alerts")
-    return AnalysisResult(started, datetime.now(UTC), settings, parsed, alerts, work, files)
+    alerts = work.write(detect(accepted(parsed), settings, work, limits=limits), "alerts")
+    return AnalysisResult(started, datetime.now(UTC), settings, parsed, alerts, work, files, limits)

@@ -33,7 +33,7 @@ from logwarden.settings import (
     UserEnumeration,
 )
 from logwarden.sources.lines import read_log_lines, splits_of
-from logwarden.sources.sinks import index_counts, index_documents, read_csv, write_csv, write_json_report
+from logwarden.sources.sinks import index_counts, index_documents, index_names, read_csv, write_bulk, write_csv, write_json_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -344,6 +344,25 @@ for _name, _source, _rule, _part in [
     _rule_query(_name, _source, _rule, _AUTH[_part])
 
 
+@_register(f"""WITH {_BASE}, alerts AS (
+  SELECT 'LINUX-AUTH-001' AS rule_id, ip AS source_ip, max(t) AS moment, count(*) AS event_count FROM failed
+  GROUP BY date_trunc('hour', t), ip, user_id % 4 HAVING count(*) >= 3 + user_id % 4 AND max(t) - min(t) <= to_seconds(900 * (1 + user_id % 4))
+  UNION ALL
+  SELECT 'LINUX-AUTH-003', any_value(s.ip), any_value(s.t), count(*) + 1
+  FROM e s JOIN failed f ON f.ip = s.ip AND f.t BETWEEN s.t - to_seconds(1800 * (1 + s.user_id % 4)) AND s.t WHERE s.event_type = 'click' GROUP BY s.event_id, s.user_id HAVING count(*) >= 2 + s.user_id % 4)
+  SELECT rule_id, source_ip, strftime(moment, '%Y-%m-%d %H:%M:%S') AS detected_at, event_count::BIGINT AS event_count FROM alerts""")
+def limits_by_address(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rules with a threshold and a window of its own for each address."""
+    work, parsed = _written(spark, _linux(spark, sf_dir))
+    part = F.substring_index("source_ip", ".", -1).cast("bigint")
+    address = accepted(parsed).where("source_ip is not null").select(F.col("source_ip").alias("key"), part.alias("k")).distinct()
+    rules = F.explode(F.array(F.struct(F.lit("LINUX-AUTH-001").alias("rule_id"), (F.col("k") + 3).alias("threshold"), (900 * (F.col("k") + 1)).alias("window_seconds")),
+        F.struct(F.lit("LINUX-AUTH-003"), F.col("k") + 2, 1800 * (F.col("k") + 1)))).alias("r")
+    limits = work.write(address.select("key", rules).select("r.rule_id", "key", "r.threshold", "r.window_seconds"), "limits")
+    alerts = detect(accepted(parsed), SETTINGS, work, {"LINUX-AUTH-001", "LINUX-AUTH-003"}, limits)
+    return alerts.select("rule_id", "source_ip", _moment("detected_at").alias("detected_at"), F.col("event_count").cast("bigint").alias("event_count"))
+
+
 @_register("""SELECT event_id, event_id % 101 AS score, CASE WHEN event_id % 101 >= 90 THEN 'critical' WHEN event_id % 101 >= 70 THEN 'high'
   WHEN event_id % 101 >= 40 THEN 'medium' WHEN event_id % 101 >= 20 THEN 'low' ELSE 'informational' END AS severity FROM events""")
 def severity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -527,3 +546,13 @@ def index_counts_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["index_counts"], ORACLE_SQL["index_counts"] = QUERIES.pop("index_counts_by_name"), ORACLE_SQL.pop("index_counts_by_name")
+
+
+@_register(ORACLE_SQL["index_counts"])
+def bulk_file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as bulk files: as counted while they were written, which must be what the files hold."""
+    events, alerts = _documents(spark, sf_dir)
+    path = WorkArea(spark, "bulk").path
+    counted = write_bulk(index_documents(events, alerts, " SOC Prod!", RUN_DAY), path, *index_names(spark, " SOC Prod!", RUN_DAY))
+    held = spark.read.text(path).where("value not like '{\"index\":%'").groupBy("_index").agg(F.count(F.lit(1)).alias("documents"))
+    return spark.createDataFrame(list(counted.items()), "_index string, documents bigint").join(held, ["_index", "documents"])

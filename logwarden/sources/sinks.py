@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from logwarden.operators.alerts import alert_order, events_in_input_order, rank_alerts
@@ -24,6 +24,11 @@ def index_name(prefix: str, kind: str, day: date | datetime) -> Column:
     return F.concat(index_prefix(F.lit(prefix)), F.lit(f"-{kind}-{day:%Y.%m.%d}"))
 
 
+def index_names(spark: SparkSession, prefix: str, day: date | datetime) -> list[str]:
+    """The two indexes of a run, of events and of alerts."""
+    return list(spark.range(1).select(index_name(prefix, "events", day), index_name(prefix, "alerts", day)).first())
+
+
 def index_documents(events: DataFrame, alerts: DataFrame, prefix: str, day: date | datetime) -> DataFrame:
     """All documents with the index each belongs to; the alerts have their ``event_ids``."""
     return (
@@ -37,12 +42,18 @@ def index_counts(documents: DataFrame) -> DataFrame:
     return documents.groupBy("_index").agg(F.count(F.lit(1)).alias("documents"))
 
 
-def write_bulk(documents: DataFrame, path: str) -> None:
-    """Bulk-load files, an action line and a document line per document, in one folder per index."""
+def write_bulk(documents: DataFrame, path: str, *indexes: str) -> dict[str, int]:
+    """Bulk-load files, an action line and a document line per document, in one folder per index.
+
+    Returns how many documents were written for each of the named indexes, counted as they were written.
+    """
     action = F.to_json(F.struct(F.struct(F.col("_index")).alias("index")))
-    documents.select("_index", F.concat(action, F.lit("\n"), F.col("document")).alias("value")).write.partitionBy(
-        "_index"
-    ).text(path)
+    written = Observation()
+    counts = [F.count_if(F.col("_index") == name).alias(f"index {i}") for i, name in enumerate(indexes)]
+    documents.select("_index", F.concat(action, F.lit("\n"), F.col("document")).alias("value")).observe(
+        written, F.count(F.lit(1)).alias("all"), *counts
+    ).write.partitionBy("_index").text(path)
+    return {name: written.get[f"index {i}"] for i, name in enumerate(indexes)}
 
 
 def _csv_line(cells: list[Column]) -> Column:

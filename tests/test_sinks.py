@@ -48,7 +48,8 @@ def test_json_report_has_all_sections(result, tmp_path):
 
 def test_bulk_files_hold_an_action_before_each_document(result, tmp_path):
     documents = index_documents(result.events, result.documents, "SOC!", date(2026, 7, 27))
-    write_bulk(documents, str(tmp_path / "bulk"))
+    counts = write_bulk(documents, str(tmp_path / "bulk"), "soc-events-2026.07.27", "soc-alerts-2026.07.27", "none")
+    assert counts == {"soc-events-2026.07.27": 15, "soc-alerts-2026.07.27": 10, "none": 0}
     found = {}
     for part in sorted((tmp_path / "bulk").glob("*/part-*")):
         lines = part.read_text().splitlines()

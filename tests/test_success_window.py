@@ -46,10 +46,10 @@ def test_a_busy_address_is_spread_over_ranges(spark):
     from logwarden.operators.correlate import _window_rows
     from pyspark.sql import functions as F
 
-    moments = spark.range(20_000).select(F.lit("10.0.0.1").alias("source_ip"), F.col("id").alias("at"), F.lit(1).cast("bigint").alias("failures"), (F.col("id") % 2).alias("successes"))
+    moments = spark.range(20_000).select(F.lit("10.0.0.1").alias("source_ip"), F.col("id").alias("at"), F.lit(1).cast("bigint").alias("failures"), (F.col("id") % 2).alias("successes"), F.lit(300).alias("window"), F.lit(1).alias("threshold"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        dealt = deal(_window_rows(moments, 300), [F.col(c) for c in ("source_ip", "at", "kind", "of")], WorkArea(spark), "t")
+        dealt = deal(_window_rows(moments), [F.col(c) for c in ("source_ip", "at", "kind", "of")], WorkArea(spark), "t")
         sizes = [r["count"] for r in dealt.groupBy(RANGE).count().collect()]
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
