@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """This application's folder below the session's spark.checkpoint.dir.
 
-    Only where that is unset, as in tests on one machine, a temporary folder is set first.
+    Only where that is unset on a single machine, as in tests, a temporary folder is set first.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
