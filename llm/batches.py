@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,6 +11,15 @@ from pyspark.sql import DataFrame
 from llm.wordhash import BLOCK, blocks
 
 
+def give_back() -> None:
+    """Returns memory that this worker has freed to the machine: workers live on, and later stages share it with them."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def map_texts(
     df: DataFrame,
     function: Callable[[list[str | None], pa.RecordBatch], dict | None],
@@ -36,5 +46,6 @@ def map_texts(
                         [x if isinstance(x, pa.Array) else pa.array(x, type=kind.type) for kind in kinds for x in [out[kind.name]]],
                         schema=kinds,
                     )
+        give_back()
 
     return df.mapInArrow(run, schema)

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window as W
 
+from llm.batches import give_back
 from llm.tables import stage
 from llm.wordhash import blocks, mix
 
@@ -159,6 +160,7 @@ def _scan(docs: DataFrame, look: Callable[[Phrases], Iterator[dict]], schema: st
             for start, end in blocks(texts, _BLOCK):
                 for out in look(Phrases(texts[start:end], langs[start:end])):
                     yield pa.RecordBatch.from_arrays([out[name] for name in names], names=names)
+        give_back()
 
     return docs.select(F.col("text").cast("string"), F.col("lang").cast("string")).mapInArrow(run, schema)
 

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, Window as W
 
+from llm.batches import give_back
 from llm.tables import stage
 from llm.wordhash import blocks
 
@@ -132,6 +133,7 @@ def cut_pieces(docs: DataFrame, how: Packing) -> DataFrame:
                         seen[n] += 1
                 columns = [pa.array(x, type=t) for x, t in zip(zip(*rows), kinds)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        give_back()
 
     names = [x.split()[0] for x in schema.split(", ")]
     kinds = [{"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[x.split()[1]] for x in schema.split(", ")]

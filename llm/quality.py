@@ -169,6 +169,7 @@ def quality_rules(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The rows of `docs`, all columns, whose text the rules keep; other columns pass through untouched."""
+    from llm.batches import give_back
     from llm.wordhash import blocks
 
     def run(batches):
@@ -176,5 +177,6 @@ def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
             texts = batch.column(batch.schema.names.index("text")).to_pylist()
             for start, end in blocks(texts):
                 yield batch.slice(start, end - start).filter(pa.array(measure(texts[start:end], limits)["kept"]))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
