@@ -356,8 +356,8 @@ def limits_by_address(spark: SparkSession, sf_dir: str) -> DataFrame:
     work, parsed = _written(spark, _linux(spark, sf_dir))
     part = F.substring_index("source_ip", ".", -1).cast("bigint")
     address = accepted(parsed).where("source_ip is not null").select(F.col("source_ip").alias("key"), part.alias("k")).distinct()
-    rules = F.explode(F.array(F.struct(F.lit("LINUX-AUTH-001").alias("rule_id"), (F.col("k") + 3).alias("threshold"), (900 * (F.col("k") + 1)).alias("window_seconds")),
-        F.struct(F.lit("LINUX-AUTH-003"), F.col("k") + 2, 1800 * (F.col("k") + 1)))).alias("r")
+    limit = lambda rule, least, window: F.struct(F.lit(rule).alias("rule_id"), (F.col("k") + least).alias("threshold"), (window * (F.col("k") + 1)).alias("window_seconds"))
+    rules = F.explode(F.array(limit("LINUX-AUTH-001", 3, 900), limit("LINUX-AUTH-003", 2, 1800))).alias("r")
     limits = work.write(address.select("key", rules).select("r.rule_id", "key", "r.threshold", "r.window_seconds"), "limits")
     alerts = detect(accepted(parsed), SETTINGS, work, {"LINUX-AUTH-001", "LINUX-AUTH-003"}, limits)
     return alerts.select("rule_id", "source_ip", _moment("detected_at").alias("detected_at"), F.col("event_count").cast("bigint").alias("event_count"))
