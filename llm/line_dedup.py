@@ -84,7 +84,7 @@ def _runs(removed: Column) -> Column:
 def dedup_lines(docs: DataFrame, run: int = 3, words: int | None = None) -> DataFrame:
     """`docs` with the later repeats deleted from `text`; adds n_lines, n_removed and removed_runs, before which columns of
     these names give way; all others, whatever their names, stay."""
-    docs, back = set_aside(docs, ["doc_id", "text"], ["n_lines", "n_removed", "removed_runs"])
+    docs, back = set_aside(docs, ["doc_id", "text"], ["n_lines", "n_removed", "removed_runs"], ("text",))
     rows = docs.withColumn("_hash", F.xxhash64("text"))
     cut = repeated_lines(docs, run, words).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_of"), "removed")
     joined = rows.join(cut, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_of")), "left")

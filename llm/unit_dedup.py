@@ -129,7 +129,7 @@ def repeats(docs: DataFrame, kind: str = "sentence", min_words: int = 8, min_cha
 def dedup_units(docs: DataFrame, kind: str = "sentence", min_words: int = 8, min_chars: int | None = None) -> DataFrame:
     """`docs` with the repeats removed from `text`; adds n_removed, removed_chars and removed_spans (`start-end`, ...), before
     which columns of these names give way; all others, whatever their names, stay."""
-    docs, back = set_aside(docs, ["doc_id", "text"], ["n_removed", "removed_chars", "removed_spans"])
+    docs, back = set_aside(docs, ["doc_id", "text"], ["n_removed", "removed_chars", "removed_spans"], ("text",))
     rows = docs.withColumn("_hash", F.xxhash64("text"))
     cut = repeats(docs, kind, min_words, min_chars).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_of"), "spans")
     joined = rows.join(cut, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_of")), "left")
