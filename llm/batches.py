@@ -6,7 +6,7 @@ import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from llm.wordhash import BLOCK, blocks
 
@@ -20,6 +20,11 @@ def give_back() -> None:
         pass
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Rows of whole texts reach the workers a thousand at a time, some megabytes, and not ten thousand."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def map_texts(
     df: DataFrame,
     function: Callable[[list[str | None], pa.RecordBatch], dict | None],
@@ -34,6 +39,7 @@ def map_texts(
     from pyspark.sql.types import _parse_datatype_string
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    bound_batches(df.sparkSession)
     kinds = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, Window as W
 
-from llm.batches import give_back
+from llm.batches import bound_batches, give_back
 from llm.tables import stage
 from llm.wordhash import blocks
 
@@ -137,6 +137,7 @@ def cut_pieces(docs: DataFrame, how: Packing) -> DataFrame:
 
     names = [x.split()[0] for x in schema.split(", ")]
     kinds = [{"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[x.split()[1]] for x in schema.split(", ")]
+    bound_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 

@@ -169,7 +169,7 @@ def quality_rules(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The rows of `docs`, all columns, whose text the rules keep; other columns pass through untouched."""
-    from llm.batches import give_back
+    from llm.batches import bound_batches, give_back
     from llm.wordhash import blocks
 
     def run(batches):
@@ -179,4 +179,5 @@ def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
                 yield batch.slice(start, end - start).filter(pa.array(measure(texts[start:end], limits)["kept"]))
         give_back()
 
+    bound_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
