@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from logwarden.operators.alerts import rank_alerts, ranked_alerts
 from logwarden.operators.ecs import to_alert_documents
-from logwarden.operators.members import event_places, with_event_ids
+from logwarden.operators.members import alert_members, event_places, listed_events, listed_places, with_event_ids
 from logwarden.operators.numbering import numbered
 from logwarden.plans.workarea import WorkArea
 
@@ -64,3 +64,27 @@ def test_an_alert_without_known_events_has_one_row(spark, result):
     none = result.members().where("false")
     rows = with_event_ids(result.alerts, none, WorkArea(spark)).collect()
     assert len(rows) == 10 and {(r.part, r.parts, r.event_ids) for r in rows} == {(1, 1, None)}
+
+
+def test_lists_without_rows_of_members_equal_those_of_them(spark, result):
+    work = WorkArea(spark)
+    twice = result.alerts.union(result.alerts.orderBy("alert_id").limit(4))  # ids that alerts have in common
+    for alerts in (result.alerts, twice):
+        members = alert_members(result.events, alerts, result.settings)
+        for chunk in (2, 4, 100_000):  # pairs of buckets that are too large, some of them, and none
+            want = with_event_ids(alerts, members, work, chunk)
+            got = listed_events(alerts, result.events, result.settings, work, chunk=chunk)
+            shown = lambda t: sorted((r.alert_id, r.part, r.parts, r.event_ids, r.rule_id) for r in t.collect())
+            assert shown(got) == shown(want)
+            if alerts is result.alerts:
+                places = sorted((r.alert_id, r.place, r.event_id) for r in listed_places(got, chunk).collect())
+                assert places == sorted((r.alert_id, r.place, r.event_id) for r in event_places(members, work).collect())
+
+
+def test_lists_of_small_alerts_write_no_row_for_each_of_their_events(spark, result, monkeypatch):
+    seen = []
+    write = WorkArea.write
+    monkeypatch.setattr(WorkArea, "write", lambda self, table, name, *by: seen.append((name, write(self, table, name, *by))) or seen[-1][1])
+    listed = result.documents
+    assert sum(len(r.event_ids) for r in listed.collect()) > 10
+    assert sum(t.count() for name, t in seen if name.startswith(("members", "event-places"))) == 0
