@@ -6,9 +6,12 @@ from pathlib import Path
 import pyarrow.parquet as pq
 
 from logwarden.functions.text import strip
+from logwarden.operators.alerts import detect
 from logwarden.operators.cloudtrail import parse_cloudtrail
 from logwarden.operators.routing import accepted, rejected, write_outcomes
 from logwarden.plans.workarea import FOLDERS_AT_ONCE, SHREDDING, WorkArea
+from logwarden.schema import DETECTION_COLUMNS, PARSED_COLUMNS
+from logwarden.settings import DetectionSettings
 from pyspark.sql import functions as F
 
 
@@ -47,6 +50,21 @@ def test_a_record_is_taken_apart_in_one_pass(spark):
     assert not any(f"$.{name}" in plan for name in ("eventTime", "eventName", "eventSource", "userName", "arn", "groupId"))
 
 
+def test_alerts_are_the_same_from_the_columns_that_rules_read(spark):
+    lines, _ = records(spark)
+    login = json.dumps({"eventTime": "2026-01-01T00:00:00Z", "eventName": "ConsoleLogin", "eventSource": "signin.amazonaws.com", "userIdentity": {"type": "Root"}})
+    more = spark.createDataFrame([(login, "trail.jsonl", 100), (login.replace("ConsoleLogin", "StopLogging"), "trail.jsonl", 101)], lines.schema)
+    parsed = parse_cloudtrail(lines.unionByName(more))
+    found, rows = [], []
+    for columns in (PARSED_COLUMNS, DETECTION_COLUMNS):
+        work = WorkArea(spark)
+        written = write_outcomes(parsed, work, columns=columns)
+        assert set(written.columns) == set(columns)
+        found.append(sorted(map(str, detect(accepted(written), DetectionSettings(), work).collect())))
+        rows.append(sorted(map(tuple, written.groupBy("source", "fate").count().collect())))
+    assert len(found[0]) == 2 and found[0] == found[1] and rows[0] == rows[1]
+
+
 def test_strip_is_as_it_was(spark):
     texts = ["", " ", "a", " a", "a ", "　a b\x1f", "é ", " é", "é", "\x85a", "a\xa0", "~!", "\x1ca\n", "a​", "\x00a\x00"]
     rows = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string").select("t", strip(F.col("t")).alias("s")).collect()
