@@ -1,14 +1,15 @@
 """Byte-level BPE encoding and decoding with Spark's higher-order functions.
 
-The text is split by the vocabulary's pattern. A word is held as its bytes in hexadecimal, in brackets: `<61><62>`.
-A fold merges: it looks up the ranks of all neighbouring pieces in a literal rank map, takes the least, and
-replaces that pair by their union wherever it stands (in a vocabulary built by merges nothing with a lower rank can
-come of it, so this is the same as one merge at a time), until no pair has a rank. The map is dealt by a hash
-of the piece, so that a lookup doesn't grow with the vocabulary.
+The text is split by the vocabulary's pattern. A word is held as an array of ids, at first those of its bytes, with an array
+of the ranks of all neighbours' unions. A fold merges: it takes the least rank, puts that id in the place of the pair, and looks
+up the ranks of the two new neighbours, until no pair has a rank. Ranks of pairs stand in literal arrays, so that a lookup
+doesn't grow with the vocabulary. A long word, whose arrays would be copied too often, is folded as text instead, its bytes
+in brackets, `<61><62>`: each step replaces a pair wherever it stands (in a vocabulary built by merges nothing with a
+lower rank can come of it, so this is the same as one merge at a time).
 
 Distinct words of the whole corpus are counted, the most frequent ones (a bounded number) are encoded once, and their
-ids go into a second literal map; a text then looks up its words there and folds only those that aren't in it. Texts
-don't meet in a shuffle. Decoding concatenates the binary pieces of the ids.
+ids go into a second literal map, with the vocabulary's own; a text then looks up its words there and folds only those that
+aren't in it. Texts don't meet in a shuffle. Decoding concatenates the binary pieces of the ids.
 
 Null texts count as empty and have no ids. Rows stay as they are, repeated ones and null ids too.
 """
@@ -27,7 +28,13 @@ from llm.tables import stage
 #: White space as Unicode has it, spelled out: Java's \s is ASCII's alone.
 _SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
 #: Frequent words kept in a literal; the others are encoded where they stand.
-_WORDS = 30_000
+_WORDS = 200_000
+#: Bytes of a word that is folded as arrays; a longer one as text.
+_SHORT = 256
+#: An odd number: numbers times this differ in their low bits if they did before.
+_SPREAD = 0x9E3779B1
+#: Stands for the rank of a pair that has none.
+_NONE = (1 << 31) - 1
 
 
 @dataclass(frozen=True)
@@ -37,6 +44,11 @@ class Vocabulary:
     ranks: dict[str, int]
     pattern: str
 
+    @property
+    def end(self) -> int:
+        """The first number that is no id."""
+        return max(self.ranks.values()) + 1
+
     @staticmethod
     def read(path: str, pattern: str) -> Vocabulary:
         """From a file of base64 pieces and ranks."""
@@ -64,7 +76,7 @@ def literal_map(entries: dict[str, object]) -> Callable[[Column], Column]:
 
     The literal is an array of short texts `,key:value,key:value,`, which takes far less memory than maps do.
     """
-    size = max(1, len(entries) // 6)
+    size = max(1, len(entries) // 2)
     buckets = [[""] for _ in range(size)]
     for key, value in entries.items():
         buckets[zlib.crc32(key.encode()) % size].append(f"{key}:{value}")
@@ -104,21 +116,96 @@ def merge(whole: Column, rank: Callable[[Column], Column]) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(whole) / 2 - 1, F.lit(1)).cast("int")), start, step)["word"]
 
 
-def _little(ids: Column) -> Column:
+def _numbers(values: list[int], kind: str) -> Column:
+    """A literal array."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
+def _power(least: int) -> int:
+    return 1 << max(0, least - 1).bit_length()
+
+
+def pair_ranks(vocabulary: Vocabulary) -> Callable[[Column, Column], Column]:
+    """A lookup of the rank of two neighbouring ids' union; `_NONE` where it has none.
+
+    A pair's key is one number. Its place in the literal is a hash of the key moved by the shift of the key's group, and the
+    shifts are chosen so that no two pairs meet.
+    """
+    ranks, base = vocabulary.ranks, vocabulary.end + 1
+    splits = ((piece[:i], piece[i:], rank) for piece, rank in ranks.items() for i in range(2, len(piece), 2))
+    pairs = {ranks[a] * base + ranks[b]: rank for a, b, rank in splits if a in ranks and b in ranks}
+    groups = _power(len(pairs) // 3)
+    bits, size = groups.bit_length() - 1, _power(max(2 * len(pairs), base * base // groups + 1))  # so keys of a group never meet
+    members: list[list[int]] = [[] for _ in range(groups)]
+    for key in pairs:
+        members[key % groups].append(key)
+    shifts, keys, values = [0] * groups, [-1] * size, [_NONE] * size
+    for group in sorted(range(groups), key=lambda g: -len(members[g])):
+        shift, hashed = group * _SPREAD % size, [(key >> bits) * _SPREAD % size for key in members[group]]
+        while any(keys[(h + shift) % size] >= 0 for h in hashed):
+            shift = (shift + 1) % size
+        shifts[group] = shift
+        for key, h in zip(members[group], hashed):
+            keys[(h + shift) % size], values[(h + shift) % size] = key, pairs[key]
+    shift_of, key_at, value_at = _numbers(shifts, "int"), _numbers(keys, "bigint"), _numbers(values, "int")
+
+    def place(key: Column) -> Column:
+        shift = F.get(shift_of, key.bitwiseAND(F.lit(groups - 1).cast("bigint")).cast("int"))
+        return (F.shiftright(key, bits) * F.lit(_SPREAD) + shift).bitwiseAND(F.lit(size - 1).cast("bigint")).cast("int")
+
+    def look(key: Column) -> Column:
+        return _let(place(key), lambda at: F.when(F.get(key_at, at) == key, F.get(value_at, at)).otherwise(_NONE))
+
+    return lambda a, b: _let(a.cast("bigint") * base + b, look)
+
+
+def merged_ids(whole: Column, vocabulary: Vocabulary) -> Column:
+    """The ids of a word given as its bytes in hexadecimal; `end` stands on both sides of a word, so that no place is special."""
+    pair, end = pair_ranks(vocabulary), F.lit(vocabulary.end)
+    of_byte = _numbers([vocabulary.ranks.get(f"{byte:02X}", vocabulary.end) for byte in range(256)], "int")
+    size = F.lit(4 * _SHORT)
+
+    def merged(state: Column, least: Column, at: Column) -> Column:
+        ids, ranks = state["ids"], state["ranks"]
+        beside = F.transform(F.array(F.struct(F.get(ids, at - 2).alias("a"), least.alias("b")), F.struct(least.alias("a"), F.get(ids, at + 1).alias("b"))), lambda x: pair(x["a"], x["b"]))
+        return F.struct(
+            F.concat(F.slice(ids, F.lit(1), at - 1), F.array(least), F.slice(ids, at + 2, size)).alias("ids"),
+            F.concat(F.slice(ranks, F.lit(1), at - 2), beside, F.slice(ranks, at + 2, size)).alias("ranks"),
+        )
+
+    def step(state: Column, _: Column) -> Column:
+        following = lambda least: _let(F.array_position(state["ranks"], least).cast("int"), lambda at: merged(state, least, at))
+        return _let(F.array_min(state["ranks"]), lambda least: F.when(least == _NONE, state).otherwise(following(least)))
+
+    bytes_ = F.transform(F.regexp_extract_all(whole, F.lit(".."), F.lit(0)), lambda d: F.get(of_byte, F.conv(d, 16, 10).cast("int")))
+    ranked = lambda ids: F.struct(ids.alias("ids"), F.zip_with(F.slice(ids, F.lit(1), F.size(ids) - 1), F.slice(ids, F.lit(2), F.size(ids) - 1), pair).alias("ranks"))
+    start = _let(F.concat(F.array(end), bytes_, F.array(end)), ranked)
+    steps = F.sequence(F.lit(1), F.greatest(F.length(whole) / 2 - 1, F.lit(1)).cast("int"))
+    return F.aggregate(steps, start, step, lambda state: F.slice(state["ids"], F.lit(2), F.size(state["ids"]) - 2))
+
+
+def _little(number: int) -> str:
     """An id as eight hexadecimal digits, least byte first."""
-    return _let(F.lpad(F.hex(ids), 8, "0"), lambda d: F.concat(*[F.substring(d, k, 2) for k in (7, 5, 3, 1)]))
+    return number.to_bytes(4, "little").hex().upper()
 
 
-def encode_words(words: Column, rank: Callable[[Column], Column], known: Callable[[Column], Column] | None = None) -> Column:
+def encode_words(words: Column, vocabulary: Vocabulary, known: Callable[[Column], Column] | None = None, long_ones: bool = True) -> Column:
     """The ids of each of an array of words, eight digits each; `known` has those of some words.
 
     Each step is a transform of its own, as an expression used twice in one would be computed twice.
     """
     none = F.lit(None).cast("string")
+    digits = ["" for _ in range(vocabulary.end)]
+    for number in vocabulary.ranks.values():
+        digits[number] = _little(number)
+    table = F.split(F.lit(",".join(digits)), ",")
+    shown = lambda ids: F.array_join(F.transform(ids, lambda i: F.get(table, i)), "")
     bytes_ = F.transform(words, lambda w: F.hex(F.encode(w, "UTF-8")))
     found = F.transform(bytes_, lambda w: F.struct((known(w) if known else none).alias("ids"), w.alias("word")))
-    merged = F.transform(found, lambda x: F.struct(x["ids"].alias("ids"), F.when(x["ids"].isNull(), merge(x["word"], rank)).alias("word")))
-    return F.transform(merged, lambda x: F.coalesce(x["ids"], F.array_join(F.transform(_parts(x["word"]), lambda p: _little(rank(p).cast("int"))), "")))
+    rank, short = literal_map(vocabulary.ranks), lambda w: merged_ids(w, vocabulary)
+    as_text = lambda w: F.transform(_parts(merge(w, rank)), lambda p: rank(p).cast("int"))
+    folded = (lambda w: F.when(F.length(w) <= 2 * _SHORT, short(w)).otherwise(as_text(w))) if long_ones else short
+    return F.transform(found, lambda x: F.coalesce(x["ids"], shown(folded(x["word"]))))
 
 
 def words_of(text: Column, vocabulary: Vocabulary) -> Column:
@@ -126,20 +213,21 @@ def words_of(text: Column, vocabulary: Vocabulary) -> Column:
 
 
 def frequent_words(docs: DataFrame, vocabulary: Vocabulary, most: int = _WORDS) -> dict[str, str]:
-    """The ids (as digits) of the most frequent words of all texts; `most` bounds their number."""
+    """The ids (as digits) of the most frequent words of all texts, of those that come twice; `most` bounds their number."""
     counts = docs.select(F.explode(words_of(F.col("text"), vocabulary)).alias("word")).groupBy("word").count()
-    top = stage(counts.orderBy(F.desc("count"), "word").limit(most).where(F.length("word") <= 64).select("word"), "frequent-words")
-    rank = literal_map(vocabulary.ranks)
-    return dict(map(tuple, top.select(F.hex(F.encode("word", "UTF-8")).alias("word"), F.get(encode_words(F.array("word"), rank), F.lit(0)).alias("ids")).collect()))
+    twice = counts.where((F.col("count") > 1) & (F.length("word") <= _SHORT // 4))
+    top = stage(twice.orderBy(F.desc("count"), "word").limit(most).select("word"), "frequent-words")
+    dealt = top.repartition(docs.sparkSession.sparkContext.defaultParallelism, "word")
+    coded = F.get(encode_words(F.array("word"), vocabulary, long_ones=False), F.lit(0))
+    return dict(map(tuple, dealt.select(F.hex(F.encode("word", "UTF-8")).alias("word"), coded.alias("ids")).collect()))
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, most: int = _WORDS) -> DataFrame:
     """`docs` with `ids`: binary, little-endian 32-bit ids of the whole text."""
     docs.sparkSession.conf.set("spark.sql.maxPlanStringLength", "10000")  # the literals would be printed with each plan
-    known = literal_map(frequent_words(docs, vocabulary, most))
-    rank = literal_map(vocabulary.ranks)
-    ids = encode_words(words_of(F.col("text"), vocabulary), rank, known)
-    return docs.withColumn("ids", F.unhex(F.array_join(ids, "")))
+    own = {piece: _little(rank) for piece, rank in vocabulary.ranks.items()}
+    known = literal_map(frequent_words(docs, vocabulary, most) | own)
+    return docs.withColumn("ids", F.unhex(F.array_join(encode_words(words_of(F.col("text"), vocabulary), vocabulary, known), "")))
 
 
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
