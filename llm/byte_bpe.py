@@ -224,7 +224,7 @@ def frequent_words(docs: DataFrame, vocabulary: Vocabulary, most: int = _WORDS)
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, most: int = _WORDS) -> DataFrame:
     """`docs` with `ids`: binary, little-endian 32-bit ids of the whole text."""
-    docs.sparkSession.conf.set("spark.sql.maxPlanStringLength", "10000")  # the literals would be printed with each plan
+    docs.sparkSession.conf.set("spark.sql.maxPlanStringLength", "100000")  # the literals would be printed with each plan
     own = {piece: _little(rank) for piece, rank in vocabulary.ranks.items()}
     known = literal_map(frequent_words(docs, vocabulary, most) | own)
     return docs.withColumn("ids", F.unhex(F.array_join(encode_words(words_of(F.col("text"), vocabulary), vocabulary, known), "")))
