@@ -1,15 +1,14 @@
-"""Byte-level BPE encoding and decoding with Spark's higher-order functions.
+"""Byte-level BPE encoding and decoding in Arrow batches, and the same merges with Spark's higher-order functions.
 
-The text is split by the vocabulary's pattern. A word is held as an array of ids, at first those of its bytes, with an array
-of the ranks of all neighbours' unions. A fold merges: it takes the least rank, puts that id in the place of the pair, and looks
-up the ranks of the two new neighbours, until no pair has a rank. Ranks of pairs stand in literal arrays, so that a lookup
-doesn't grow with the vocabulary. A long word, whose arrays would be copied too often, is folded as text instead, its bytes
-in brackets, `<61><62>`: each step replaces a pair wherever it stands (in a vocabulary built by merges nothing with a
-lower rank can come of it, so this is the same as one merge at a time).
+A task splits its texts by the vocabulary's pattern. The bytes of a word are folded by rank: the pair of neighbours whose union has
+the least rank, the leftmost of those, becomes one piece, until no union has a rank. Pairs wait in a heap, so that a long word
+takes little more than time in proportion. Words met lately are remembered with their ids, a bounded number in each task;
+nothing is counted first, no row is moved, and plans hold no vocabulary. Decoding joins the pieces of the ids.
 
-Distinct words of the whole corpus are counted, the most frequent ones (a bounded number) are encoded once, and their
-ids go into a second literal map, with the vocabulary's own; a text then looks up its words there and folds only those that
-aren't in it. Texts don't meet in a shuffle. Decoding concatenates the binary pieces of the ids.
+For columns of words there are `merged_ids` and `encode_words`, which are expressions alone: a fold over arrays of ids with the
+ranks of all neighbours' unions, and over text, its bytes in brackets, `<61><62>`, for long words. There each step replaces a pair
+wherever it stands (in a vocabulary built by merges nothing with a lower rank can come of it, so this is the same as one merge
+at a time). Such a fold is interpreted and takes twenty times the time of the one in batches.
 
 Null texts count as empty and have no ids. Rows stay as they are, repeated ones and null ids too.
 """
@@ -17,19 +16,26 @@ Null texts count as empty and have no ids. Rows stay as they are, repeated ones
 from __future__ import annotations
 
 import base64
+import struct
 import zlib
-from collections.abc import Callable
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
+import numpy as np
+import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from llm.tables import stage
+from llm.batches import bound_batches, give_back
 
-#: White space as Unicode has it, spelled out: Java's \s is ASCII's alone.
+#: White space as Unicode has it, spelled out: Python's \s has four control characters more.
 _SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
-#: Frequent words kept in a literal; the others are encoded where they stand.
-_WORDS = 200_000
-#: Bytes of a word that is folded as arrays; a longer one as text.
+#: Words whose ids a task remembers, some 70 MB; longer ones than _LONG characters are not among them.
+_WORDS = 300_000
+_LONG = 64
+#: Bytes of a word that is folded as arrays in expressions; a longer one as text.
 _SHORT = 256
 #: An odd number: numbers times this differ in their low bits if they did before.
 _SPREAD = 0x9E3779B1
@@ -39,7 +45,7 @@ _NONE = (1 << 31) - 1
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Ranks by piece (hexadecimal), and the pattern that splits texts."""
+    """Ranks by piece (hexadecimal), and the pattern that splits texts, without groups that capture."""
 
     ranks: dict[str, int]
     pattern: str
@@ -57,8 +63,8 @@ class Vocabulary:
         return Vocabulary(ranks, pattern)
 
 
-def java_pattern(pattern: str) -> str:
-    """The split pattern for Java's engine, with white space as in Unicode."""
+def spelled_pattern(pattern: str) -> str:
+    """The split pattern with white space spelled out, for engines whose \\s is another."""
     return pattern.replace(r"[^\s", "[^" + _SPACE).replace(r"\S", f"[^{_SPACE}]").replace(r"\s", f"[{_SPACE}]")
 
 
@@ -208,34 +214,81 @@ def encode_words(words: Column, vocabulary: Vocabulary, known: Callable[[Column]
     return F.transform(found, lambda x: F.coalesce(x["ids"], shown(folded(x["word"]))))
 
 
-def words_of(text: Column, vocabulary: Vocabulary) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(vocabulary.pattern)), F.lit(0))
+def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The ids of a word: the leftmost pair of least rank is merged until no pair has a rank.
 
-
-def frequent_words(docs: DataFrame, vocabulary: Vocabulary, most: int = _WORDS) -> dict[str, str]:
-    """The ids (as digits) of the most frequent words of all texts, of those that come twice; `most` bounds their number."""
-    counts = docs.select(F.explode(words_of(F.col("text"), vocabulary)).alias("word")).groupBy("word").count()
-    twice = counts.where((F.col("count") > 1) & (F.length("word") <= _SHORT // 4))
-    top = stage(twice.orderBy(F.desc("count"), "word").limit(most).select("word"), "frequent-words")
-    dealt = top.repartition(docs.sparkSession.sparkContext.defaultParallelism, "word")
-    coded = F.get(encode_words(F.array("word"), vocabulary, long_ones=False), F.lit(0))
-    return dict(map(tuple, dealt.select(F.hex(F.encode("word", "UTF-8")).alias("word"), coded.alias("ids")).collect()))
+    A piece is known by its first place; `end` has where it ends (0: it's part of one before it), `before` where the one before begins.
+    """
+    n = len(word)
+    end, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    pairs = [(rank, i, i + 2) for i in range(n - 1) if (rank := ranks.get(word[i : i + 2])) is not None]
+    heapify(pairs)
+    while pairs:
+        _, start, stop = heappop(pairs)
+        middle = end[start]
+        if not middle or middle == n or end[middle] != stop:  # one of the two has been merged since
+            continue
+        end[start], end[middle] = stop, 0
+        if stop < n:
+            before[stop] = start
+            if (rank := ranks.get(word[start : end[stop]])) is not None:
+                heappush(pairs, (rank, start, end[stop]))
+        if (first := before[start]) >= 0 and (rank := ranks.get(word[first:stop])) is not None:
+            heappush(pairs, (rank, first, stop))
+    ids, at = [], 0
+    while at < n:
+        ids.append(ranks[word[at : end[at]]])
+        at = end[at]
+    return ids
+
+
+class Words(dict):
+    """Ids by word, as little-endian 32-bit values; of the words met lately at most `most` stay."""
+
+    def __init__(self, ranks: dict[bytes, int], most: int):
+        super().__init__()
+        self.ranks, self.half, self.older = ranks, max(1, most // 2), {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            raw = word.encode()
+            numbers = [self.ranks[raw]] if raw in self.ranks else fold(raw, self.ranks)
+            ids = struct.pack(f"<{len(numbers)}I", *numbers)
+        if len(word) <= _LONG:
+            if len(self) >= self.half:
+                self.older = self.copy()
+                self.clear()
+            self[word] = ids
+        return ids
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, most: int = _WORDS) -> DataFrame:
     """`docs` with `ids`: binary, little-endian 32-bit ids of the whole text."""
-    docs.sparkSession.conf.set("spark.sql.maxPlanStringLength", "100000")  # the literals would be printed with each plan
-    own = {piece: _little(rank) for piece, rank in vocabulary.ranks.items()}
-    known = literal_map(frequent_words(docs, vocabulary, most) | own)
-    return docs.withColumn("ids", F.unhex(F.array_join(encode_words(words_of(F.col("text"), vocabulary), vocabulary, known), "")))
+    bound_batches(docs.sparkSession)
+
+    @F.arrow_udf("binary")
+    def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        words = Words({bytes.fromhex(piece): rank for piece, rank in vocabulary.ranks.items()}, most)
+        split, ids_of = regex.compile(spelled_pattern(vocabulary.pattern)).findall, words.__getitem__
+        for texts in batches:
+            yield pa.array((b"".join(map(ids_of, split(text.as_py() or ""))) for text in texts), pa.binary())
+        words.older = {}
+        words.clear()
+        give_back()
+
+    return docs.withColumn("ids", encoded("text"))
 
 
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
-    """The bytes of ids given as little-endian 32-bit values."""
-    pieces = [""] * (max(vocabulary.ranks.values()) + 1)
-    for piece, rank in vocabulary.ranks.items():
-        pieces[rank] = piece
-    table = F.split(F.lit(",".join(pieces)), ",")
-    digits = F.regexp_extract_all(F.hex(ids), F.lit("(..)(..)(..)(..)"), F.lit(0))
-    number = lambda d: F.conv(F.concat(*[F.substring(d, k, 2) for k in (7, 5, 3, 1)]), 16, 10).cast("int")
-    return F.unhex(F.array_join(F.transform(digits, lambda d: F.get(table, number(d))), ""))
+    """The bytes of ids given as little-endian 32-bit values; null for null."""
+
+    @F.arrow_udf("binary")
+    def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        piece = defaultdict(bytes, {rank: bytes.fromhex(piece) for piece, rank in vocabulary.ranks.items()}).__getitem__
+        for rows in batches:
+            values = (row.as_py() for row in rows)
+            yield pa.array((None if x is None else b"".join(map(piece, np.frombuffer(x, "<u4").tolist())) for x in values), pa.binary())
+        give_back()
+
+    return decoded(ids)
