@@ -32,8 +32,8 @@ from llm.batches import bound_batches, give_back
 
 #: White space as Unicode has it, spelled out: Python's \s has four control characters more.
 _SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
-#: Words whose ids a task remembers, some 70 MB; longer ones than _LONG characters are not among them.
-_WORDS = 300_000
+#: Words whose ids a task remembers, some 110 MB; longer ones than _LONG characters are not among them.
+_WORDS = 500_000
 _LONG = 64
 #: Bytes of a word that is folded as arrays in expressions; a longer one as text.
 _SHORT = 256
